@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from ..functions.numbers import MONEY, hit
 from ..rules import STOCKOUT_EVENT, Rules
 
-_ORDER = (F.col("date_id").asc_nulls_last, F.col("stock_event_id").asc)
-
 
 def _with_blocks(stock: DataFrame, rules: Rules) -> DataFrame:
     """Add `block`: the day for a product with very many events, else nothing.
@@ -64,7 +62,9 @@ def repair_spikes(stock: DataFrame, rules: Rules) -> DataFrame:
     halo = _neighbours_across_days(blocks).withColumn("kept", F.lit(False))
     rows = blocks.unionByName(halo, allowMissingColumns=True)
 
-    w = W.partitionBy("product_id", "block").orderBy(*[o() for o in _ORDER])
+    w = W.partitionBy("product_id", "block").orderBy(
+        F.col("date_id").asc_nulls_last(), "stock_event_id"
+    )
     level, change = F.col("stock_on_hand"), F.col("quantity_change")
     error = F.bround(level - F.lag(level).over(w) - change, 2)
     next_error = F.bround(F.lead(level).over(w) - level - F.lead(change).over(w), 2)
