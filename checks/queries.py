@@ -72,17 +72,6 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[str], obj
     return _done[key]
 
 
-def published(spark: SparkSession, sf_dir: str) -> pipeline.Published:
-    return _once(
-        spark,
-        sf_dir,
-        "run",
-        lambda folder: pipeline.run(
-            staged.raw_tables(spark, sf_dir), staged.calendar(spark, sf_dir), RULES, folder
-        ),
-    )
-
-
 def scanned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The raw tables written as text files and scanned back."""
 
@@ -94,8 +83,23 @@ def scanned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return scan_raw(spark, _once(spark, sf_dir, "raw", write))
 
 
+def run_job(spark: SparkSession, sf_dir: str, folder: str) -> pipeline.Published:
+    """The whole job, from text files to published tables."""
+    raw, calendar = scanned(spark, sf_dir), staged.calendar(spark, sf_dir)
+    return pipeline.run(raw, calendar, RULES, folder)
+
+
+def published(spark: SparkSession, sf_dir: str) -> pipeline.Published:
+    return _once(spark, sf_dir, "run", lambda folder: run_job(spark, sf_dir, folder))
+
+
 def typed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return structuring.structure(staged.raw_tables(spark, sf_dir), RULES)
+    return _once(
+        spark,
+        sf_dir,
+        "typed plans",
+        lambda _: structuring.structure(staged.raw_tables(spark, sf_dir), RULES),
+    )
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +182,7 @@ def load_star(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    return published(spark, sf_dir).star()
+    return _once(spark, sf_dir, "star plans", lambda _: published(spark, sf_dir).star())
 
 
 def sentinel_member(spark, sf_dir):
@@ -409,6 +413,9 @@ _QUERIES: dict[str, Query] = {
         lambda df: stock.repair_spikes(df, RULES),
         "stock_event_id", "product_id", "date_id", "stock_on_hand", "fixed_level",
     ),
+    "salary_line": lambda spark, sf_dir: tables.salary_line_report(
+        typed(spark, sf_dir)["dim_employee"], RULES
+    ),
     "corrections": _on_published(lambda out: out.corrections()),
     "gross_margin": _cleaned_columns("quantity", "net_amount", "gross_margin"),
     "days_to_deliver": _table_rule(

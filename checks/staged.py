@@ -229,8 +229,16 @@ _RAW = {
 }
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores when a table is fewer files than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     found = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES}
+    for table, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+        found[table] = _spread(found[table], key)
     found["sale_lines"] = spark.sql(_LINES, **found)
     return found
 

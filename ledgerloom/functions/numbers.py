@@ -21,8 +21,8 @@ def money(c: Column) -> Column:
     return c.try_cast(MONEY)
 
 
-def clipped(c: Column, low, high) -> Column:
-    return F.when(c < low, F.lit(low)).when(c > high, F.lit(high)).otherwise(c)
+def clipped(c: Column, low: Column, high: Column) -> Column:
+    return F.when(c < low, low).when(c > high, high).otherwise(c)
 
 
 def outside(c: Column, low, high) -> Column:

@@ -1,7 +1,7 @@
 """Exact quantiles by linear interpolation, without holding a group in one task.
 
-Both functions first count the rows per value. That count combines before the
-shuffle, so a group with a third of all rows costs one row per distinct value.
+Rows are counted per value, or per bucket of values, before the shuffle, so a group
+with a third of all rows costs one row per distinct value and task.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ def between(low: Column, high: Column, weight: Column) -> Column:
     return F.when(weight < 0.5, low + step * weight).otherwise(high - step * (1 - weight))
 
 
-def _value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+def _counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows with a value, per key. Counting values, rather than filtering rows, keeps
+    the optimizer from repeating the whole expression behind `value` in a filter."""
+    return df.groupBy(*keys).agg(F.count(value).alias("_n")).where("_n > 0")
 
 
 def _position(total: Column, fraction: float) -> Column:
@@ -35,7 +37,7 @@ def grouped_quantiles(
     For values with few distinct numbers per group, such as piece counts.
     """
     inside = W.partitionBy(*by)
-    ranked = _value_counts(df, by, value).select(
+    ranked = _counts(df, [*by, value], value).select(
         *by,
         F.col(value).cast("double").alias("_v"),
         F.sum("_n").over(inside.orderBy(value)).alias("_upto"),
@@ -64,18 +66,18 @@ def overall_quantile(
 ) -> DataFrame:
     """One row with the quantile of a whole-number column such as cents, as DOUBLE.
 
-    Selects in two steps: first the bucket of `bucket` neighbouring values that
-    holds the wanted position, then the value inside it. The ordered steps see at
-    most one row per bucket and one row per value of two buckets, whatever the
-    number of rows; for 12-digit cents that is two million rows.
+    Two passes, each with a small shuffle. The first counts rows per bucket of
+    neighbouring values and finds the bucket that holds the wanted position; the
+    second counts the values inside it. The ordered steps see at most one row per
+    bucket and one row per value of two buckets, whatever the number of rows; for
+    12-digit cents that is two million rows.
     """
-    counts = _value_counts(df, [], value).withColumn(
-        "_bucket", F.floor(F.col(value) / F.lit(bucket))
+    rows = df.select(
+        value, F.coalesce(F.floor(F.col(value) / F.lit(bucket)), F.lit(0)).alias("_bucket")
     )
     everything = W.partitionBy(F.lit(0))
     buckets = (
-        counts.groupBy("_bucket")
-        .agg(F.sum("_n").alias("_n"))
+        _counts(rows, ["_bucket"], value)
         .select(
             "_bucket",
             (F.sum("_n").over(everything.orderBy("_bucket")) - F.col("_n")).alias("_before"),
@@ -94,11 +96,10 @@ def overall_quantile(
         covers("_lo", F.col("_before"), F.col("_n")) | covers("_hi", F.col("_before"), F.col("_n"))
     ).select("_bucket", "_before", "_at", "_lo", "_hi")
     # At most two rows by construction, so the broadcast is bounded.
-    ranked = counts.join(F.broadcast(wanted), "_bucket").withColumn(
+    inside = _counts(rows.join(F.broadcast(wanted), "_bucket"), [*wanted.columns, value], value)
+    ranked = inside.withColumn(
         "_start",
-        F.col("_before")
-        + F.sum("_n").over(W.partitionBy("_bucket").orderBy(value))
-        - F.col("_n"),
+        F.col("_before") + F.sum("_n").over(W.partitionBy("_bucket").orderBy(value)) - F.col("_n"),
     )
     ends = ranked.agg(
         F.max(F.when(covers("_lo", F.col("_start"), F.col("_n")), F.col(value))).alias("_l"),

@@ -2,49 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import hit
-from ..sources.raw import stacked
 
 
 class IntegrityError(ValueError):
     """Published sales would break a final condition."""
 
 
-def net_above_gross(sales: DataFrame) -> DataFrame:
+def _breaks_net_le_gross() -> Column:
     """Sold quantity, but net is not at most gross (or one of them is missing)."""
     holds = hit(F.col("net_amount") <= F.col("gross_amount"))
-    return sales.where(hit(F.col("quantity") >= 0) & ~holds)
+    return hit(F.col("quantity") >= 0) & ~holds
 
 
-def net_below_gross_on_return(sales: DataFrame) -> DataFrame:
+def _breaks_returns() -> Column:
     holds = hit(F.col("net_amount") >= F.col("gross_amount"))
-    return sales.where(hit(F.col("quantity") < 0) & ~holds)
+    return hit(F.col("quantity") < 0) & ~holds
+
+
+def _breaks_discount() -> Column:
+    return ~hit(F.col("discount_pct").between(0, 100))
+
+
+def net_above_gross(sales: DataFrame) -> DataFrame:
+    return sales.where(_breaks_net_le_gross())
+
+
+def net_below_gross_on_return(sales: DataFrame) -> DataFrame:
+    return sales.where(_breaks_returns())
 
 
 def discount_out_of_range(sales: DataFrame) -> DataFrame:
-    return sales.where(~hit(F.col("discount_pct").between(0, 100)))
+    return sales.where(_breaks_discount())
 
 
 def unknown_product(sales: DataFrame, product: DataFrame) -> DataFrame:
-    return sales.join(product.select("product_id").distinct(), "product_id", "left_anti")
+    return sales.join(product.select("product_id"), "product_id", "left_anti")
 
 
 def integrity_report(sales: DataFrame, product: DataFrame) -> DataFrame:
-    """Number of rows against each final condition."""
+    """Number of rows against each final condition, from one pass over the sales."""
+    known = product.select("product_id").distinct().withColumn("known", F.lit(True))
     broken = {
-        "net_le_gross": net_above_gross(sales),
-        "returns": net_below_gross_on_return(sales),
-        "discount_range": discount_out_of_range(sales),
-        "product_fk": unknown_product(sales, product),
+        "net_le_gross": _breaks_net_le_gross(),
+        "returns": _breaks_returns(),
+        "discount_range": _breaks_discount(),
+        "product_fk": F.col("known").isNull(),
     }
-    return stacked(
-        df.agg(F.count(F.lit(1)).alias("n_violations")).select(
-            F.lit(name).alias("assertion"), "n_violations"
-        )
-        for name, df in broken.items()
+    return (
+        sales.join(known, "product_id", "left")
+        .agg(*[F.count_if(cond).alias(name) for name, cond in broken.items()])
+        .unpivot([], list(broken), "assertion", "n_violations")
     )
 
 

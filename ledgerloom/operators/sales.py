@@ -91,7 +91,8 @@ def cap_quantity(sales: DataFrame) -> DataFrame:
 
 def clip_discount(sales: DataFrame) -> DataFrame:
     kind = sales.schema["discount_pct"].dataType
-    return sales.withColumn("discount_pct", clipped(F.col("discount_pct"), 0, 100).cast(kind))
+    low, high = F.lit(0).cast(kind), F.lit(100).cast(kind)
+    return sales.withColumn("discount_pct", clipped(F.col("discount_pct"), low, high))
 
 
 def _recomputed(sales: DataFrame, column: str, value: Column, flag: str, rules: Rules):

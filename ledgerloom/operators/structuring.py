@@ -61,21 +61,40 @@ def structure(raw: dict[str, DataFrame], rules: Rules) -> dict[str, DataFrame]:
     return {name: structure_table(name, df, rules) for name, df in raw.items()}
 
 
-def missing_dates(tables: dict[str, DataFrame]) -> DataFrame:
-    """Missing values per date column after parsing, one aggregate per table."""
+def table_profile(tables: dict[str, DataFrame], weight: str = "copies") -> DataFrame:
+    """Rows and missing values per date column after parsing, one pass per table.
+
+    One line per date column, or a single line without a column for a table that
+    has no dates. Rows of a table with a `copies` column count that many times.
+    """
     parts = []
     for name, df in tables.items():
+        size = F.col(weight) if weight in df.columns else F.lit(1)
         dates = [c for c, kind in df.dtypes if kind == "date"]
+        counts = df.agg(
+            F.coalesce(F.sum(size), F.lit(0)).alias("n_rows"),
+            *[
+                F.coalesce(F.sum(F.when(F.col(c).isNull(), size)), F.lit(0)).alias(c)
+                for c in dates
+            ],
+        )
         if dates:
-            counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in dates])
-            parts.append(
-                counted.unpivot([], dates, "column_name", "n_missing").select(
-                    F.lit(name).alias("table_name"), "column_name", "n_missing"
-                )
+            lines = counts.unpivot("n_rows", dates, "column_name", "n_missing")
+        else:
+            lines = counts.withColumns(
+                {"column_name": F.lit(None).cast("string"), "n_missing": F.lit(0).cast("bigint")}
             )
+        parts.append(
+            lines.select(F.lit(name).alias("table_name"), "n_rows", "column_name", "n_missing")
+        )
     return stacked(parts)
 
 
+def missing_dates(tables: dict[str, DataFrame]) -> DataFrame:
+    profile = table_profile(tables).where("column_name is not null")
+    return profile.select("table_name", "column_name", "n_missing")
+
+
 def domain_profile(
     tables: dict[str, DataFrame], columns: Iterable[tuple[str, str]] = DISCRETE
 ) -> DataFrame:

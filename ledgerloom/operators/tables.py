@@ -67,6 +67,19 @@ def cap_salary(employee: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
+def salary_line_report(employee: DataFrame, rules: Rules) -> DataFrame:
+    """Salaries above a fixed line before and after the cap, beside the capped rows."""
+    capped = cap_salary(employee, rules).withColumnRenamed("monthly_salary", "capped_salary")
+    before = employee.agg(
+        F.count_if(F.col("monthly_salary") > rules.salary_line).alias("n_above_before")
+    )
+    after = capped.agg(
+        F.count_if(F.col("capped_salary") > rules.salary_line).alias("n_above_after"),
+        F.count_if("fixed_salary").alias("n_capped"),
+    )
+    return after.select(before.scalar().alias("n_above_before"), "n_above_after", "n_capped")
+
+
 def repair_join_date(employee: DataFrame, rules: Rules) -> DataFrame:
     wrong = hit(F.col("join_date") > F.lit(rules.join_date_limit))
     default = F.lit(rules.join_date_default)
@@ -97,9 +110,10 @@ def order_promotion_dates(promotion: DataFrame) -> DataFrame:
 
 def clip_promotion_discount(promotion: DataFrame) -> DataFrame:
     discount = F.col("discount_pct")
+    low, high = F.lit(0).cast(MONEY), F.lit(100).cast(MONEY)
     return promotion.withColumns(
         {
-            "discount_pct": clipped(discount, 0, 100).cast(MONEY),
+            "discount_pct": clipped(discount, low, high),
             "fixed_discount": outside(discount, 0, 100),
         }
     )

@@ -167,7 +167,7 @@ def period_compare(star: Star, rules: Rules) -> DataFrame:
     return periods.select(
         "before_revenue",
         "after_revenue",
-        F.round(per_year("before"), 2).alias("before_per_year"),
-        F.round(per_year("after"), 2).alias("after_per_year"),
+        F.round(per_year("before"), 4).alias("before_per_year"),
+        F.round(per_year("after"), 4).alias("after_per_year"),
         F.round(F.try_divide(per_year("after"), per_year("before")), 6).alias("ratio"),
     )

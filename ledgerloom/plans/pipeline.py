@@ -92,7 +92,8 @@ class Published:
         others = {name: self.stored(name) for name in RAW_TABLES if name != "fact_sales"}
         out = raw_row_counts(others).select("table_name", F.lit(pub.CLEAN).alias("route"), "n")
         routed = routes.select(F.lit("fact_sales").alias("table_name"), "route", "n")
-        return run_summary(self.metric("raw_counts"), out.unionByName(routed), self.corrections())
+        raw_counts = self.metric("profile").select("table_name", F.col("n_rows").alias("n"))
+        return run_summary(raw_counts.distinct(), out.unionByName(routed), self.corrections())
 
     def settlement_drift(self) -> DataFrame:
         return reconcile.settlement_drift(
@@ -149,13 +150,6 @@ def run_summary(raw_counts: DataFrame, routed: DataFrame, corrected: DataFrame)
     )
 
 
-def _missing_sales_dates(rows: DataFrame) -> DataFrame:
-    missing = F.sum(F.when(F.col("date_id").isNull(), F.col("copies")))
-    return rows.agg(F.coalesce(missing, F.lit(0)).alias("n_missing")).select(
-        F.lit("fact_sales").alias("table_name"), F.lit("date_id").alias("column_name"), "n_missing"
-    )
-
-
 def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: str) -> Published:
     """Run the whole job into `folder`, which all executors must be able to reach.
 
@@ -205,14 +199,11 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
     routed = routing.route(flagged, employee, typed["dim_store"], promotion, rules)
     pub.write_routed(conformed("fact_sales", routed), out.path("published", "fact_sales"))
 
-    copies = rows.agg(F.sum("copies").alias("n")).select(F.lit("fact_sales").alias("table_name"), "n")
-    rest = {name: df for name, df in raw.items() if name != "fact_sales"}
-    typed_rest = {name: df for name, df in typed.items() if name != "fact_sales"}
+    # Every table keeps its rows when typed, so these are the raw figures; the copies
+    # counted with the distinct sales stand for the raw sales.
+    profiled = {**typed, "fact_sales": rows, "fact_stock": stock_events}
     metrics = {
-        "raw_counts": raw_row_counts(rest).unionByName(copies),
-        "missing_dates": structuring.missing_dates(typed_rest).unionByName(
-            _missing_sales_dates(rows)
-        ),
+        "profile": structuring.table_profile(profiled),
         "grain": structuring.grain_check(rows),
         "integrity": out.integrity(),
     }
