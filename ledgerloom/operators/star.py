@@ -62,8 +62,8 @@ def add_sentinel_employee(employee: DataFrame, rules: Rules) -> DataFrame:
             for f in employee.schema.fields
         ]
     )
-    there = employee.where(F.col("employee_id") == rules.sentinel_employee).select("employee_id")
-    return employee.unionByName(row.join(there, "employee_id", "left_anti"))
+    others = employee.where(~F.col("employee_id").eqNullSafe(rules.sentinel_employee))
+    return others.unionByName(row)
 
 
 def load_star(published: dict[str, DataFrame], rules: Rules) -> dict[str, DataFrame]:
