@@ -340,7 +340,8 @@ _QUERIES: dict[str, Query] = {
     "audit_pk": audit_pk,
     "audit_fk": audit_fk,
     "audit_not_null": _on_star(audits.audit_required),
-    "audit_width": _on_star(audits.audit_widths),
+    "audit_width": lambda spark, sf_dir: audits.audit_widths(typed(spark, sf_dir)),
+    "load_rejects": _on_published(lambda out: out.refused()),
     "load_verification": _on_star(star.load_verification),
     "parse_dates": lambda spark, sf_dir: structuring.missing_dates(typed(spark, sf_dir)),
     "nullable_ints": nullable_ints,

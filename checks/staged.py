@@ -118,7 +118,10 @@ with modes as (
       else case when k % 3 = 0 then 'UNKNOWN' else 'CASH' end end as mode,
     net_c
   from {sale_lines}
-), days as (select d, mode, sum(net_c) as net_c from modes group by d, mode)
+), days as (
+  select d, mode, sum(net_c) as net_c from modes
+  where not (mode = 'UPI' and day(d) % 13 = 0) group by d, mode
+)
 select cast(datediff(d, date'1990-01-01') * 10 + case mode when 'CASH' then 1 when 'CARD' then 2
     when 'UPI' then 3 else 4 end as string) as settlement_id,
   cast(d as string) as date_id, concat(' ', mode) as payment_mode,
@@ -136,7 +139,8 @@ select cast((y * 100 + mo) * 10 + kind as string) as opex_id,
   date_format(m, 'MMM-yy') as month,
   case kind when 1 then 'Salary-Permanent' when 2 then 'Salary-Seasonal' else 'Rent' end
     as expense_type,
-  cast(20000 + 1000 * mo + 10 * kind as string) as amount,
+  case when kind = 3 and y * 100 + mo = 199501 then '20000000000.00'
+    else cast(20000 + 1000 * mo + 10 * kind as string) end as amount,
   case kind when 1 then cast((y - 1994) * 12 + mo as string)
     when 2 then case when mo in (10, 11) then '14' else '2' end end as headcount,
   cast(mo % 5 + 1 as string) as store_id
@@ -194,7 +198,8 @@ from {supplier}
 
 _STORES = """
 select cast(r_regionkey + 1 as string) as store_id, r_name as store_name,
-  'Shop' as store_type, 'Main Street' as location
+  'Shop' as store_type,
+  case when r_regionkey = 4 then repeat('Main Street ', 5) else 'Main Street' end as location
 from {region}
 """
 

@@ -13,8 +13,10 @@ from ..rules import STOCKOUT_EVENT, Rules
 def _with_blocks(stock: DataFrame, rules: Rules) -> DataFrame:
     """Add `block`: the day for a product with very many events, else nothing.
 
-    A product is one block and one sort as long as it is of moderate size. The
-    list of heavy products has at most (all rows / stock_block_rows) entries.
+    A product is one block and one sort as long as it is of moderate size. The list
+    of heavy products has at most (all rows / stock_block_rows) entries, a bound that
+    makes it safe to broadcast; without the hint its size would be guessed from the
+    whole table and the events shuffled once more.
     """
     heavy = (
         stock.groupBy(F.col("product_id").alias("heavy_product"))
@@ -23,7 +25,9 @@ def _with_blocks(stock: DataFrame, rules: Rules) -> DataFrame:
         .select("heavy_product", F.lit(True).alias("is_heavy"))
     )
     return (
-        stock.join(heavy, stock["product_id"].eqNullSafe(heavy["heavy_product"]), "left")
+        stock.join(
+            F.broadcast(heavy), stock["product_id"].eqNullSafe(heavy["heavy_product"]), "left"
+        )
         .withColumn("is_heavy", F.coalesce("is_heavy", F.lit(False)))
         .withColumn("block", F.when(F.col("is_heavy"), F.col("date_id")))
         .drop("heavy_product")

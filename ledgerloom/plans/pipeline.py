@@ -7,6 +7,8 @@ products, staff, stores and promotions.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,6 +152,12 @@ def run_summary(raw_counts: DataFrame, routed: DataFrame, corrected: DataFrame)
     )
 
 
+def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
+    """Several small writes at a time, so that they do not leave the cluster idle."""
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, names))
+
+
 def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: str) -> Published:
     """Run the whole job into `folder`, which all executors must be able to reach.
 
@@ -171,14 +179,12 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
     stock_events = work("fact_stock", typed["fact_stock"])
 
     product = tables.clean_product(typed["dim_product"], rules)
-    employee = tables.clean_employee(typed["dim_employee"], rules)
-    promotion = tables.clean_promotion(typed["dim_promotion"])
     others = {
         "dim_date": calendar,
         "dim_store": typed["dim_store"],
         "dim_product": product,
-        "dim_employee": employee,
-        "dim_promotion": promotion,
+        "dim_employee": tables.clean_employee(typed["dim_employee"], rules),
+        "dim_promotion": tables.clean_promotion(typed["dim_promotion"]),
         "dim_customer": reconcile.reconcile_first_purchase(typed["dim_customer"], rows, rules),
         "fact_stock": stock.repair_spikes(stock_events, rules),
         "fact_purchase_order": tables.clean_purchase_order(typed["fact_purchase_order"]),
@@ -187,16 +193,21 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
         ),
         "fact_opex": typed["fact_opex"],
     }
-    for name, df in others.items():
-        conformed(name, df).write.mode("overwrite").parquet(out.path("published", name))
+    _side_by_side(
+        lambda name: conformed(name, others[name])
+        .write.mode("overwrite")
+        .parquet(out.path("published", name)),
+        others,
+    )
 
-    # The card and the limit are written first, so that the planner knows their true
-    # size when it chooses how to join them.
+    # The card, the limit and the published dimensions are read from files, so that the
+    # planner knows their true size when it chooses how to join them.
     card = work("product_card", sales.product_card(rows, product, rules))
     cleaned = sales.clean_sales(rows, card, rules)
     limit = work("high_value_limit", sales.high_value_limit(cleaned, rules))
     flagged = sales.flag_high_value(cleaned, limit)
-    routed = routing.route(flagged, employee, typed["dim_store"], promotion, rules)
+    lookups = [out.stored(t) for t in ("dim_employee", "dim_store", "dim_promotion")]
+    routed = routing.route(flagged, *lookups, rules)
     pub.write_routed(conformed("fact_sales", routed), out.path("published", "fact_sales"))
 
     # Every table keeps its rows when typed, so these are the raw figures; the copies
@@ -207,7 +218,12 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
         "grain": structuring.grain_check(rows),
         "integrity": out.integrity(),
     }
-    for name, df in metrics.items():
-        df.coalesce(1).write.mode("overwrite").parquet(out.path("metrics", name))
+    _side_by_side(
+        lambda name: metrics[name]
+        .coalesce(1)
+        .write.mode("overwrite")
+        .parquet(out.path("metrics", name)),
+        metrics,
+    )
     assertions.require_integrity(out.metric("integrity"))
     return out

@@ -19,6 +19,24 @@ SETTINGS = {
 }
 
 
+# Bytes of input per shuffle partition and per input split on large data.
+_SHUFFLE_BYTES = 512 * 1024 * 1024
+_SPLIT_BYTES = 256 * 1024 * 1024
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Partition counts for a given amount of raw input.
+
+    The optimizer joins small shuffle partitions but cannot add any, so the number
+    must be high enough for a partition to fit the memory of a task.
+    """
+    partitions = min(max(200, -(-input_bytes // _SHUFFLE_BYTES)), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(_SPLIT_BYTES),
+    }
+
+
 def build_session(name: str, master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(name).config("spark.ui.enabled", "false")
     if master:
