@@ -1,7 +1,8 @@
 """One registered query per operator, on the staged test tables.
 
-Rule queries start from the raw text and run up to their rule. Queries on
-published tables share one run of the whole job per session and data folder.
+Typing, row deduplication and the rules of single tables start from the raw text.
+Everything behind them goes on from the tables that one run of the whole job wrote,
+once per session and data folder, as the job itself does.
 """
 
 from __future__ import annotations
@@ -106,34 +107,28 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structuring.distinct_rows(typed(spark, sf_dir)["fact_sales"])
 
 
-def product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.clean_product(typed(spark, sf_dir)["dim_product"], RULES)
-
-
 def with_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = rows(spark, sf_dir)
-    return sales.with_card(lines, sales.product_card(lines, product(spark, sf_dir), RULES))
+    out = published(spark, sf_dir)
+    return sales.with_card(out.working("fact_sales"), out.working("product_card"))
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = rows(spark, sf_dir)
-    card = sales.product_card(lines, product(spark, sf_dir), RULES)
-    return sales.clean_sales(lines, card, RULES)
+    out = published(spark, sf_dir)
+    return sales.clean_sales(out.working("fact_sales"), out.working("product_card"), RULES)
 
 
 def referenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filled sales rows with everything the routing rules look at."""
-    t = typed(spark, sf_dir)
-    known = t["dim_product"].select("product_id").distinct().withColumn("in_master", F.lit(True))
-    lines = sales.fill_gaps(rows(spark, sf_dir), RULES).join(known, "product_id", "left")
+    out = published(spark, sf_dir)
     return routing.with_references(
-        lines.withColumn("in_master", F.coalesce("in_master", F.lit(False))),
-        t["dim_employee"],
-        t["dim_store"],
-        tables.clean_promotion(t["dim_promotion"]),
+        sales.fill_gaps(with_card(spark, sf_dir), RULES), *_dimensions(out)
     )
 
 
+def _dimensions(out: pipeline.Published) -> list[DataFrame]:
+    return [out.stored(t) for t in ("dim_employee", "dim_store", "dim_promotion")]
+
+
 # --- A: sources, sinks, star -------------------------------------------------
 
 
@@ -286,14 +281,8 @@ def _breaking(reason: str) -> Query:
 
 
 def quarantine_route(spark, sf_dir):
-    t = typed(spark, sf_dir)
-    routed = routing.route(
-        cleaned(spark, sf_dir),
-        t["dim_employee"],
-        t["dim_store"],
-        tables.clean_promotion(t["dim_promotion"]),
-        RULES,
-    )
+    out = published(spark, sf_dir)
+    routed = routing.route(cleaned(spark, sf_dir), *_dimensions(out), RULES)
     return _line(routed, "quantity", "net_amount", "quarantine_reason")
 
 
@@ -303,7 +292,7 @@ def _both_stages(check: Callable[[DataFrame, DataFrame], DataFrame], *columns: s
     def query(spark, sf_dir):
         out = published(spark, sf_dir)
         stages = {
-            "raw": (rows(spark, sf_dir), typed(spark, sf_dir)["dim_product"]),
+            "raw": (out.working("fact_sales"), typed(spark, sf_dir)["dim_product"]),
             "clean": (out.clean("fact_sales"), out.clean("dim_product")),
         }
         return stacked(

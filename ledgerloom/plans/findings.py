@@ -34,7 +34,9 @@ def tamil_month_profile(star: Star) -> DataFrame:
         .groupBy("year", "tamil_month")
         .agg(
             _sum("net", "revenue"),
-            (F.sum("discounts").cast("double") / F.sum("n_discounts")).alias("avg_discount_pct"),
+            F.try_divide(F.sum("discounts").cast("double"), F.sum("n_discounts")).alias(
+                "avg_discount_pct"
+            ),
         )
     )
     year = W.partitionBy("year")
@@ -74,7 +76,7 @@ def lead_time_range(star: Star) -> DataFrame:
     planned = product.groupBy(*places).agg(
         F.min("lead_time_days").alias("min_lead_days"),
         F.max("lead_time_days").alias("max_lead_days"),
-        (F.sum("lead_time_days") / F.count("lead_time_days")).alias("avg_lead_days"),
+        F.try_divide(F.sum("lead_time_days"), F.count("lead_time_days")).alias("avg_lead_days"),
     )
     days = F.col("days_to_deliver").cast("int")
     delivered = (

@@ -83,6 +83,10 @@ class Published:
             for name in STAR
         )
 
+    def working(self, name: str) -> DataFrame:
+        """A table the job wrote to go on from: distinct sales, the product card, ..."""
+        return self.spark.read.parquet(self.path("work", name))
+
     def metric(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path("metrics", name))
 
