@@ -120,13 +120,12 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def referenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filled sales rows with everything the routing rules look at."""
     out = published(spark, sf_dir)
-    return routing.with_references(
-        sales.fill_gaps(with_card(spark, sf_dir), RULES), *_dimensions(out)
-    )
+    lines = sales.fill_gaps(with_card(spark, sf_dir), RULES)
+    return routing.with_references(lines, lookups(out))
 
 
-def _dimensions(out: pipeline.Published) -> list[DataFrame]:
-    return [out.stored(t) for t in ("dim_employee", "dim_store", "dim_promotion")]
+def lookups(out: pipeline.Published) -> dict[str, DataFrame]:
+    return {t: out.working(t) for t in ("lookup_employee", "lookup_store", "lookup_promotion")}
 
 
 # --- A: sources, sinks, star -------------------------------------------------
@@ -282,7 +281,7 @@ def _breaking(reason: str) -> Query:
 
 def quarantine_route(spark, sf_dir):
     out = published(spark, sf_dir)
-    routed = routing.route(cleaned(spark, sf_dir), *_dimensions(out), RULES)
+    routed = routing.route(cleaned(spark, sf_dir), lookups(out), RULES)
     return _line(routed, "quantity", "net_amount", "quarantine_reason")
 
 

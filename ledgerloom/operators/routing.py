@@ -20,36 +20,40 @@ from ..rules import (
 _HELPERS = ("known_employee", "is_godown", "known_store", "promo_start", "promo_end")
 
 
-def with_references(
-    sales: DataFrame, employee: DataFrame, store: DataFrame, promotion: DataFrame
-) -> DataFrame:
-    """Bring in what the rules need. Each lookup has one row per key, so no row doubles."""
-    employees = (
-        employee.where(F.col("employee_id").isNotNull())
+def lookups(
+    employee: DataFrame, store: DataFrame, promotion: DataFrame
+) -> dict[str, DataFrame]:
+    """What the rules need of each dimension, one row per key, so that no sale doubles.
+
+    Write these before joining sales to them: the planner then knows their size, and a
+    shuffled join of two plain tables can split the partition of a hot or missing key,
+    which it cannot behind an aggregate.
+    """
+    return {
+        "lookup_employee": employee.where(F.col("employee_id").isNotNull())
         .groupBy("employee_id")
         .agg(F.max(hit(F.col("role") == GODOWN_ROLE)).alias("is_godown"))
-        .withColumn("known_employee", F.lit(True))
-    )
-    stores = (
-        store.where(F.col("store_id").isNotNull())
+        .withColumn("known_employee", F.lit(True)),
+        "lookup_store": store.where(F.col("store_id").isNotNull())
         .select("store_id")
         .distinct()
-        .withColumn("known_store", F.lit(True))
-    )
-    promotions = (
-        promotion.where(F.col("promotion_id").isNotNull())
+        .withColumn("known_store", F.lit(True)),
+        "lookup_promotion": promotion.where(F.col("promotion_id").isNotNull())
         .groupBy("promotion_id")
         .agg(F.min(F.struct("start_date", "end_date")).alias("p"))
         .select(
             "promotion_id",
             F.col("p.start_date").alias("promo_start"),
             F.col("p.end_date").alias("promo_end"),
-        )
-    )
+        ),
+    }
+
+
+def with_references(sales: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     return (
-        sales.join(employees, "employee_id", "left")
-        .join(stores, "store_id", "left")
-        .join(promotions, "promotion_id", "left")
+        sales.join(tables["lookup_employee"], "employee_id", "left")
+        .join(tables["lookup_store"], "store_id", "left")
+        .join(tables["lookup_promotion"], "promotion_id", "left")
     )
 
 
@@ -70,13 +74,11 @@ def rule_conditions(rules: Rules) -> dict[str, Column]:
     }
 
 
-def route(
-    sales: DataFrame, employee: DataFrame, store: DataFrame, promotion: DataFrame, rules: Rules
-) -> DataFrame:
+def route(sales: DataFrame, tables: dict[str, DataFrame], rules: Rules) -> DataFrame:
     """Add `quarantine_reason`: the first rule a row breaks, missing for a good row."""
     reasons = [F.when(cond, F.lit(text)) for text, cond in rule_conditions(rules).items()]
     return (
-        with_references(sales, employee, store, promotion)
+        with_references(sales, tables)
         .withColumn("quarantine_reason", F.coalesce(*reasons))
         .drop(*_HELPERS)
     )

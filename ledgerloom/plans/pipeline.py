@@ -204,14 +204,15 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
         others,
     )
 
-    # The card, the limit and the published dimensions are read from files, so that the
-    # planner knows their true size when it chooses how to join them.
+    # What the sales are joined to is read from files, so that the planner knows its true
+    # size, and can split skewed partitions where it is too large to broadcast.
     card = work("product_card", sales.product_card(rows, product, rules))
     cleaned = sales.clean_sales(rows, card, rules)
     limit = work("high_value_limit", sales.high_value_limit(cleaned, rules))
     flagged = sales.flag_high_value(cleaned, limit)
-    lookups = [out.stored(t) for t in ("dim_employee", "dim_store", "dim_promotion")]
-    routed = routing.route(flagged, *lookups, rules)
+    dimensions = [out.stored(t) for t in ("dim_employee", "dim_store", "dim_promotion")]
+    lookups = {name: work(name, df) for name, df in routing.lookups(*dimensions).items()}
+    routed = routing.route(flagged, lookups, rules)
     pub.write_routed(conformed("fact_sales", routed), out.path("published", "fact_sales"))
 
     # Every table keeps its rows when typed, so these are the raw figures; the copies

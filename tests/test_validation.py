@@ -41,7 +41,7 @@ def routed(table, dims, rules):
             "promotion_id bigint",
             [(i, *{**blank, **row}.values()) for i, row in enumerate(rows)],
         )
-        return routing.route(lines, *dims, rules)
+        return routing.route(lines, routing.lookups(*dims), rules)
 
     return make
 
