@@ -145,6 +145,12 @@ def _stock_levels(star: Star) -> DataFrame:
     return star["fact_stock"].select("product_id", "date_id", "stock_event_id", "stock_on_hand")
 
 
+def _computed_once(few_rows: DataFrame) -> DataFrame:
+    """Keep a small result that a plan uses twice, where the session has a folder for it."""
+    kept = few_rows.sparkSession.sparkContext.getCheckpointDir() is not None
+    return few_rows.checkpoint() if kept else few_rows
+
+
 def master_join_all(star: Star) -> DataFrame:
     """Every sale with its date, customer, product and the stock events of that day."""
     return (
@@ -158,11 +164,11 @@ def master_join(star: Star, n: int = 1000) -> DataFrame:
     """The first n rows of the master join by date.
 
     Every sale gives at least one row, so the first n rows come from the first n
-    sales: these are cut first, and the stock table is only searched for their
+    sales: these are cut first, once, and the stock table is only searched for their
     products and days. The broadcast side has at most n rows.
     """
     order = list(_MASTER_ORDER)
-    first_sales = _described_sales(star).orderBy(*order).limit(n)
+    first_sales = _computed_once(_described_sales(star).orderBy(*order).limit(n))
     keys = first_sales.select("product_id", "date_id").distinct()
     stock = _stock_levels(star).join(F.broadcast(keys), ["product_id", "date_id"], "left_semi")
     return (
