@@ -175,6 +175,23 @@ def load_star(spark, sf_dir):
     )
 
 
+def load_star_text(spark, sf_dir):
+    """Publish as text, read the text back, load it under the declared types."""
+    out = published(spark, sf_dir)
+    clean = {t: t for t in ("dim_date", "fact_sales_quarantine")}
+    names = {t: clean.get(t, f"{t}_clean") for t in STAR}
+
+    def write(folder: str) -> str:
+        pub.publish_clean({t: out.clean(t) for t in RAW_TABLES}, folder, form="csv")
+        for t in clean:
+            write_csv(out.clean(t), f"{folder}/{t}.csv")
+        return folder
+
+    folder = _once(spark, sf_dir, "text", write)
+    text = {t: pub.read_published(spark, folder, name, "csv") for t, name in names.items()}
+    return star.load_star(text, RULES)["fact_sales"]
+
+
 def _star(spark, sf_dir):
     return _once(spark, sf_dir, "star plans", lambda _: published(spark, sf_dir).star())
 
@@ -323,6 +340,8 @@ _QUERIES: dict[str, Query] = {
     "publish_clean": publish_clean,
     "publish_quarantine": publish_quarantine,
     "load_star": load_star,
+    "load_star_text": load_star_text,
+    "quarantine_reasons": _on_published(lambda out: out.quarantine_reasons()),
     "sentinel_member": sentinel_member,
     "apply_schema": apply_schema,
     "audit_pk": audit_pk,

@@ -15,6 +15,8 @@ REFUSED = "refused_values"
 
 
 def _conformed(df: DataFrame, field: T.StructField) -> Column:
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType)
     if df.schema[field.name].dataType == field.dataType:
         return F.col(field.name)
     return F.col(field.name).try_cast(field.dataType)
@@ -24,15 +26,16 @@ def apply_schema(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()
     """Cast to the declared types and note every value that does not fit.
 
     The note travels with the row, so accepted and refused rows are two filters on
-    one table rather than two passes.
+    one table rather than two passes. A column the table lacks is missing throughout.
     """
-    changed = [f for f in schema.fields if df.schema[f.name].dataType != f.dataType]
+    given = dict(zip(df.columns, df.schema.fields, strict=True))
     notes = [
         F.when(
             F.col(f.name).isNotNull() & _conformed(df, f).isNull(),
             F.concat(F.lit(f.name + "="), F.col(f.name).cast("string")),
         )
-        for f in changed
+        for f in schema.fields
+        if f.name in given and given[f.name].dataType != f.dataType
     ]
     note = F.nullif(F.concat_ws("; ", *notes), F.lit("")) if notes else F.lit(None).cast("string")
     return df.select(
@@ -69,7 +72,8 @@ def add_sentinel_employee(employee: DataFrame, rules: Rules) -> DataFrame:
 def load_star(published: dict[str, DataFrame], rules: Rules) -> dict[str, DataFrame]:
     """The twelve tables under their declared types, the sentinel employee included.
 
-    Published tables already have these types, so this reads them in place.
+    Published tables already have these types and are read in place; tables read back
+    from text are cast, and rows with a value that does not fit are left out.
     """
     star = {}
     for table, schema in STAR.items():

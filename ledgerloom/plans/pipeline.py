@@ -101,6 +101,10 @@ class Published:
         raw_counts = self.metric("profile").select("table_name", F.col("n_rows").alias("n"))
         return run_summary(raw_counts.distinct(), out.unionByName(routed), self.corrections())
 
+    def quarantine_reasons(self) -> DataFrame:
+        quarantined = self.table("fact_sales_quarantine")
+        return quarantined.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("n"))
+
     def settlement_drift(self) -> DataFrame:
         return reconcile.settlement_drift(
             self.clean("fact_payment_settlement"), self.clean("fact_sales"), self.rules

@@ -51,6 +51,9 @@ DERIVED = {
     "fact_purchase_order": ("days_to_deliver",),
 }
 
+# Columns a raw file may lack.
+OPTIONAL = {"fact_opex": {"headcount"}}
+
 PRIMARY_KEYS = {
     "dim_date": "date_id",
     "dim_store": "store_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import month_start
-from .raw import write_csv
+from .raw import scan_text, write_csv
 
 CLEAN = "clean"
 QUARANTINE = "quarantine"
@@ -21,12 +21,21 @@ def materialised(df: DataFrame, path: str) -> DataFrame:
 
 def publish_clean(tables: dict[str, DataFrame], folder: str, form: str = "parquet") -> None:
     for name, df in tables.items():
-        _write(df, f"{folder}/{name}_clean", form)
+        _write(df, _named(folder, f"{name}_clean", form), form)
 
 
 def publish_quarantine(df: DataFrame, folder: str, form: str = "parquet") -> None:
     """Written even when empty, so that readers always find the schema."""
-    _write(df, f"{folder}/quarantined_fact_sales", form)
+    _write(df, _named(folder, "quarantined_fact_sales", form), form)
+
+
+def read_published(spark: SparkSession, folder: str, name: str, form: str) -> DataFrame:
+    path = _named(folder, name, form)
+    return scan_text(spark, path) if form == "csv" else spark.read.format(form).load(path)
+
+
+def _named(folder: str, name: str, form: str) -> str:
+    return f"{folder}/{name}.csv" if form == "csv" else f"{folder}/{name}"
 
 
 def _write(df: DataFrame, path: str, form: str) -> None:

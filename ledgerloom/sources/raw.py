@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import missing_to_null
-from ..schemas import RAW_TABLES, raw_schema
+from ..schemas import OPTIONAL, RAW_TABLES, raw_columns
 
 _CSV = {
     "header": "true",
@@ -18,14 +18,33 @@ _CSV = {
 }
 
 
+def scan_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """A text file, or a folder of them, by header; all columns as text.
+
+    Files of a folder whose headers differ are an error. Texts with line breaks need
+    `multiline`, which reads each file in one task.
+    """
+    reader = spark.read.options(**_CSV, enforceSchema="false", mode="PERMISSIVE")
+    return missing_to_null(reader.option("multiLine", str(multiline).lower()).csv(path))
+
+
 def scan_raw(
-    spark: SparkSession, folder: str, tables: Iterable[str] = RAW_TABLES
+    spark: SparkSession,
+    folder: str,
+    tables: Iterable[str] = RAW_TABLES,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
-    """Read `<folder>/<table>.csv` for every table; a header that differs is an error."""
-    reader = spark.read.options(**_CSV, enforceSchema="false", mode="PERMISSIVE")
-    return {
-        t: missing_to_null(reader.schema(raw_schema(t)).csv(f"{folder}/{t}.csv")) for t in tables
-    }
+    """Read `<folder>/<table>.csv` for every table; columns may stand in any order."""
+    scanned = {}
+    for table in tables:
+        df = scan_text(spark, f"{folder}/{table}.csv", multiline)
+        expected = raw_columns(table)
+        unknown = set(df.columns) - set(expected)
+        missing = set(expected) - set(df.columns) - OPTIONAL.get(table, set())
+        if unknown or missing:
+            raise ValueError(f"{table}: header lacks {sorted(missing)}, adds {sorted(unknown)}")
+        scanned[table] = df.select([c for c in expected if c in df.columns])
+    return scanned
 
 
 def write_csv(df: DataFrame, path: str) -> None:

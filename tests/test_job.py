@@ -11,6 +11,7 @@ from ledgerloom.operators.assertions import IntegrityError
 from ledgerloom.plans import pipeline
 from ledgerloom.schemas import RAW_TABLES, STAR
 from ledgerloom.sources import published as pub
+from ledgerloom.sources.raw import write_csv
 from pyspark.sql import functions as F
 
 
@@ -72,7 +73,7 @@ def test_failed_condition_stops_the_job(spark, sf_dir, tmp_path):
 
 def test_csv_publication(spark, job, tmp_path):
     pub.publish_clean({"dim_store": job.clean("dim_store")}, str(tmp_path), form="csv")
-    back = spark.read.option("header", True).csv(f"{tmp_path}/dim_store_clean")
+    back = spark.read.option("header", True).csv(f"{tmp_path}/dim_store_clean.csv")
     assert sorted(values(back, "store_name")) == sorted(
         values(job.clean("dim_store"), "store_name")
     )
@@ -81,6 +82,24 @@ def test_csv_publication(spark, job, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/quarantined_fact_sales").columns == empty.columns
 
 
+def test_folder_to_folder(spark, sf_dir, tmp_path):
+    """The command: a folder of text files in, tables and text files out."""
+    from ledgerloom.__main__ import run_folder
+
+    raw = f"{tmp_path}/raw"
+    for name, df in staged.file_text(spark, sf_dir).items():
+        write_csv(df, f"{raw}/{name}.csv")
+    write_csv(staged.calendar(spark, sf_dir), f"{raw}/dim_date.csv")
+    out = run_folder(spark, raw, f"{tmp_path}/out", staged.RULES, csv=True)
+    expected = queries.published(spark, sf_dir)
+    for table in ("dim_date", "dim_customer", "fact_sales", "fact_sales_quarantine"):
+        assert out.clean(table).exceptAll(expected.clean(table)).count() == 0
+    text = pub.read_published(spark, f"{tmp_path}/out/clean", "fact_sales_clean", "csv")
+    assert text.count() == expected.clean("fact_sales").count()
+    reasons = {r["quarantine_reason"]: r["n"] for r in out.quarantine_reasons().collect()}
+    assert sum(reasons.values()) == expected.clean("fact_sales_quarantine").count()
+
+
 # --- plans -------------------------------------------------------------------
 
 

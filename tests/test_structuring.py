@@ -1,9 +1,10 @@
+import pytest
 from conftest import column, values
 
 from ledgerloom.functions.dates import parse_date, parse_month
 from ledgerloom.functions.numbers import whole
 from ledgerloom.functions.text import missing_to_null, product_key, strip, title_case
-from ledgerloom.operators import structuring
+from ledgerloom.operators import star, structuring
 from ledgerloom.schemas import RAW_TABLES, STAR, raw_schema
 from ledgerloom.sources.raw import raw_row_counts, scan_raw, write_csv
 from pyspark.sql import functions as F
@@ -28,16 +29,48 @@ def test_scan_round_trip(spark, table, tmp_path):
     assert values(raw_row_counts(back), "*") == [("dim_store", 1)]
 
 
-def test_scan_refuses_other_header(spark, table, tmp_path):
-    import pytest
+def write_text(path, *lines):
+    path.mkdir(exist_ok=True)
+    (path / f"part-{len(list(path.iterdir()))}.csv").write_text("\n".join(lines) + "\n")
 
-    spark.createDataFrame([("1", "x")], "store_id string, wrong string").write.option(
-        "header", True
-    ).csv(f"{tmp_path}/dim_store.csv")
+
+def test_scan_takes_columns_by_name(spark, tmp_path):
+    write_text(tmp_path / "dim_store.csv", "location,store_type,store_id,store_name", "a,b,1,c")
+    assert values(scan_raw(spark, str(tmp_path), ["dim_store"])["dim_store"], "*") == [
+        ("1", "c", "b", "a")
+    ]
+
+
+def test_scan_refuses_other_columns(spark, tmp_path):
+    write_text(tmp_path / "dim_store.csv", "store_id,store_name,store_type,wrong", "1,a,b,c")
+    with pytest.raises(ValueError, match="location.*wrong"):
+        scan_raw(spark, str(tmp_path), ["dim_store"])
+
+
+def test_scan_refuses_files_that_differ(spark, tmp_path):
+    folder = tmp_path / "dim_store.csv"
+    write_text(folder, "store_id,store_name,store_type,location", "1,a,b,c")
+    write_text(folder, "store_name,store_id,store_type,location", "a,2,b,c")
     with pytest.raises(Exception, match="(?i)header"):
         scan_raw(spark, str(tmp_path), ["dim_store"])["dim_store"].collect()
 
 
+def test_scan_of_texts_with_line_breaks(spark, tmp_path):
+    write_text(tmp_path / "dim_store.csv", "store_id,store_name,store_type,location",
+               '1,"a', 'b",c,d')
+    df = scan_raw(spark, str(tmp_path), ["dim_store"], multiline=True)["dim_store"]
+    assert values(df, "store_name", "location") == [("a\nb", "d")]
+
+
+def test_headcount_may_be_absent(spark, tmp_path, rules):
+    write_text(tmp_path / "fact_opex.csv", "opex_id,month,expense_type,amount,store_id",
+               "1,Apr-18,Rent,5,1")
+    raw = scan_raw(spark, str(tmp_path), ["fact_opex"])["fact_opex"]
+    typed = structuring.structure_table("fact_opex", raw, rules)
+    loaded = star.accepted(star.apply_schema(typed, STAR["fact_opex"]))
+    assert values(loaded, "month", "amount", "headcount") == [("2018-04-01", 5, None)]
+
+
 def test_parse_date(table):
     df = texts(table, "2018-01-05", "bad", None, "05/02/2018").withColumn(
         "d", parse_date(F.col("c"))
