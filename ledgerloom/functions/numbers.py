@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Amounts while they are being repaired: wider than declared, so that a value that does
+# not fit is refused with its number when it is published, not lost before.
 MONEY = T.DecimalType(18, 2)
 
 
@@ -36,6 +38,5 @@ def hit(condition: Column) -> Column:
 
 def percent_off(amount: Column, percent: Column) -> Column:
     """amount * (1 - percent/100) to the cent, ties to even, in exact decimals."""
-    return (F.bround(amount * (F.lit(100) - percent), 0) * F.lit("0.01").cast("decimal(2,2)")).cast(
-        MONEY
-    )
+    hundredths = F.bround(amount * (F.lit(100) - percent), 0)
+    return (hundredths * F.lit("0.01").cast("decimal(2,2)")).try_cast(MONEY)

@@ -103,7 +103,7 @@ def _recomputed(sales: DataFrame, column: str, value: Column, flag: str, rules:
 
 
 def repair_gross(sales: DataFrame, rules: Rules) -> DataFrame:
-    value = F.bround(F.col("unit_price") * F.col("quantity"), 2).cast(MONEY)
+    value = F.bround(F.col("unit_price") * F.col("quantity"), 2).try_cast(MONEY)
     return _recomputed(sales, "gross_amount", value, "fixed_gross", rules)
 
 
@@ -114,7 +114,9 @@ def repair_net(sales: DataFrame, rules: Rules) -> DataFrame:
 
 def add_margin(sales: DataFrame) -> DataFrame:
     cost = F.col("master_cost") * F.col("quantity")
-    return sales.withColumn("gross_margin", F.bround(F.col("net_amount") - cost, 2).cast(MONEY))
+    return sales.withColumn(
+        "gross_margin", F.bround(F.col("net_amount") - cost, 2).try_cast(MONEY)
+    )
 
 
 def flag_wholesale(sales: DataFrame, rules: Rules) -> DataFrame:

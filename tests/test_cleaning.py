@@ -102,6 +102,13 @@ def test_amounts(sale, rules):
     assert column(df, "fixed_net") == [True, False, False, False, True, True]
 
 
+def test_absurd_amounts_do_not_stop_the_job(sale, product, rules):
+    lines = sale({"unit_price": "9999999999999999.99", "quantity": 2_000_000_000})
+    card = sales.product_card(lines, product(("p", "9999999999999999.99", 1)), rules)
+    df = sales.clean_sales(lines, card, rules)
+    assert values(df, "gross_amount", "fixed_gross") == [(10, False)]
+
+
 def test_margin_and_flags(sale, product, rules):
     lines = sale(
         {"quantity": 3, "unit_price": 10, "gross_amount": 30, "net_amount": 27, "discount_pct": 10},

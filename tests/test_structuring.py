@@ -72,12 +72,12 @@ def test_headcount_may_be_absent(spark, tmp_path, rules):
 
 
 def test_parse_date(table):
-    df = texts(table, "2018-01-05", "bad", None, "05/02/2018").withColumn(
+    df = texts(table, "2018-01-05", "bad", None, "05/02/2018", "2018-1-5", "2018-13-01").withColumn(
         "d", parse_date(F.col("c"))
     )
-    assert column(df, "d") == ["2018-01-05", None, None, None]
+    assert column(df, "d") == ["2018-01-05", None, None, None, None, None]
     more = df.withColumn("d", parse_date(F.col("c"), ("yyyy-MM-dd", "dd/MM/yyyy")))
-    assert column(more, "d") == ["2018-01-05", None, None, "2018-02-05"]
+    assert column(more, "d") == ["2018-01-05", None, None, "2018-02-05", None, None]
 
 
 def test_missing_dates_count(table):
@@ -118,10 +118,10 @@ def test_title_case(table):
 
 
 def test_parse_month(table):
-    items = ["Apr-18", "2018-04-21", "bad", "apr-95", None, "Jan-68", "Jan-69"]
+    items = ["Apr-18", "2018-04-21", "bad", "apr-95", None, "Jan-68", "Jan-69", "Apr-2018"]
     df = texts(table, *items).withColumn("m", parse_month(F.col("c")))
     assert column(df, "m") == [
-        "2018-04-01", "2018-04-01", None, "1995-04-01", None, "2068-01-01", "1969-01-01",
+        "2018-04-01", "2018-04-01", None, "1995-04-01", None, "2068-01-01", "1969-01-01", None,
     ]
 
 
