@@ -38,11 +38,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 LINE = ("transaction_id", "product_id", "customer_id")
 
 
+# Whole numbers that may be missing; both sides give them as DOUBLE.
+MAY_BE_MISSING = ("store_id", "employee_id", "promotion_id", "quantity_ordered")
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Widen integers, decimals to DOUBLE and dates to text, as the SQL side does."""
 
     def one(f: T.StructField):
         c = F.col(f.name)
+        if f.name in MAY_BE_MISSING and not isinstance(f.dataType, T.StringType):
+            return c.cast("double").alias(f.name)
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             return c.cast("bigint").alias(f.name)
         if isinstance(f.dataType, T.DecimalType):
