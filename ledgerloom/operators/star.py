@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..rules import Rules
-from ..schemas import STAR
+from ..schemas import LAYOUT, STAR
 from ..sources.raw import stacked
 
 # Texts of the values a declared type refused, `column=value; ...`; NULL if none.
@@ -78,10 +78,11 @@ def load_star(published: dict[str, DataFrame], rules: Rules) -> dict[str, DataFr
     star = {}
     for table, schema in STAR.items():
         df = published[table]
+        layout = [c for c in LAYOUT.get(table, ()) if c in df.columns]
         if REFUSED in df.columns:
-            star[table] = accepted(df.select(*schema.fieldNames(), REFUSED))
+            star[table] = accepted(df.select(*schema.fieldNames(), REFUSED, *layout))
         else:
-            star[table] = accepted(apply_schema(df, schema))
+            star[table] = accepted(apply_schema(df, schema, tuple(layout)))
     star["dim_employee"] = add_sentinel_employee(star["dim_employee"], rules)
     return star
 
@@ -89,7 +90,8 @@ def load_star(published: dict[str, DataFrame], rules: Rules) -> dict[str, DataFr
 def write_star(star: dict[str, DataFrame], folder: str) -> None:
     """Full refresh of a second copy, for consumers that want plain table folders."""
     for table, df in star.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{table}")
+        layout = [c for c in LAYOUT.get(table, ()) if c in df.columns]
+        df.write.mode("overwrite").partitionBy(*layout).parquet(f"{folder}/{table}")
 
 
 def load_verification(star: dict[str, DataFrame]) -> DataFrame:

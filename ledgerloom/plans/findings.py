@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
 from ..rules import Rules
-from .analytics import Star, _monthly_revenue, _salaried_headcount, _sum
+from .analytics import Star, _monthly_revenue, _salaried_headcount, _sum, sales_by_month
+
+
+_DAY = ["date_id", "sale_month"]
 
 
 def _per_day(star: Star) -> DataFrame:
     """Sales summed per day: small enough to meet the calendar."""
     return (
-        star["fact_sales"]
+        sales_by_month(star)
         .where(F.col("date_id").isNotNull())
-        .groupBy("date_id")
+        .groupBy(*_DAY)
         .agg(
             F.sum("net_amount").alias("net"),
             F.sum("discount_pct").alias("discounts"),
@@ -25,12 +28,18 @@ def _per_day(star: Star) -> DataFrame:
     )
 
 
+def _calendar(star: Star) -> DataFrame:
+    """The calendar with its months. Joined on day and month, a choice of days also
+    chooses the month folders of the sales that are read."""
+    return star["dim_date"].withColumn("sale_month", month_start(F.col("date_id")))
+
+
 def tamil_month_profile(star: Star) -> DataFrame:
     """Revenue and mean discount per Tamil month, with the year's best and worst month."""
-    calendar = star["dim_date"].select("date_id", "year", "tamil_month")
+    calendar = _calendar(star).select(*_DAY, "year", "tamil_month")
     months = (
         _per_day(star)
-        .join(calendar, "date_id")
+        .join(calendar, _DAY)
         .groupBy("year", "tamil_month")
         .agg(
             _sum("net", "revenue"),
@@ -52,10 +61,11 @@ def tamil_month_profile(star: Star) -> DataFrame:
 
 def festival_months(star: Star) -> DataFrame:
     """Revenue per festival and year, ranked within the year."""
-    calendar = star["dim_date"].where("festival_name is not null")
+    # Also true of every name; unlike `is not null` it counts as a choice of days.
+    festivals = _calendar(star).where(F.col("festival_name") != "")
     return (
         _per_day(star)
-        .join(calendar.select("date_id", "year", "festival_name"), "date_id")
+        .join(festivals.select(*_DAY, "year", "festival_name"), _DAY)
         .groupBy("year", "festival_name")
         .agg(_sum("net", "revenue"))
         .withColumn(
@@ -147,13 +157,13 @@ def surge_ratio(star: Star, rules: Rules) -> DataFrame:
 
 def period_compare(star: Star, rules: Rules) -> DataFrame:
     """Mean yearly revenue of two periods and their ratio, one row."""
-    year = F.year("date_id")
+    year = F.year("sale_month")
     period = F.when(year.between(*rules.period_before), "before").when(
         year.between(*rules.period_after), "after"
     )
     yearly = (
-        star["fact_sales"]
-        .where(period.isNotNull())
+        sales_by_month(star)
+        .where(year.between(*rules.period_before) | year.between(*rules.period_after))
         .groupBy(year.alias("year"), period.alias("period"))
         .agg(_sum("net_amount", "revenue"))
     )

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..operators import assertions, reconcile, routing, sales, stock, structuring, tables
 from ..operators.star import REFUSED, accepted, apply_schema, load_star, refused
 from ..rules import Rules
-from ..schemas import RAW_TABLES, STAR
+from ..schemas import LAYOUT, RAW_TABLES, STAR
 from ..sources import published as pub
 from ..sources.raw import raw_row_counts, stacked
 
@@ -61,9 +61,9 @@ class Published:
             return pub.read_routed(self.spark, path, schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def table(self, name: str) -> DataFrame:
-        """One of the twelve tables with its refusal note."""
-        columns = [*STAR[name].fieldNames(), REFUSED]
+    def table(self, name: str, layout: bool = False) -> DataFrame:
+        """One of the twelve tables with its refusal note, on request with its folders."""
+        columns = [*STAR[name].fieldNames(), REFUSED, *(LAYOUT.get(name, ()) if layout else ())]
         routes = {"fact_sales": pub.CLEAN, "fact_sales_quarantine": pub.QUARANTINE}
         if name in routes:
             stored = self.stored("fact_sales").where(F.col("route") == routes[name])
@@ -75,7 +75,7 @@ class Published:
         return accepted(self.table(name))
 
     def star(self) -> dict[str, DataFrame]:
-        return load_star({name: self.table(name) for name in STAR}, self.rules)
+        return load_star({name: self.table(name, layout=True) for name in STAR}, self.rules)
 
     def refused(self) -> DataFrame:
         return stacked(

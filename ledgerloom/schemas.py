@@ -54,6 +54,9 @@ DERIVED = {
 # Columns a raw file may lack.
 OPTIONAL = {"fact_opex": {"headcount"}}
 
+# Folder columns a star table has beside the declared ones.
+LAYOUT = {"fact_sales": ("sale_month",)}
+
 PRIMARY_KEYS = {
     "dim_date": "date_id",
     "dim_store": "store_id",
