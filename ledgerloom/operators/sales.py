@@ -2,7 +2,8 @@
 
 Every repair adds a boolean `fixed_...` column, so that corrections are counted
 from the result and not by extra passes. All joins here bring in one table, the
-product card, with one row per product.
+product card, with one row per product. Prices, costs and amounts have two decimals,
+so their products with whole quantities are exact; only percentages are rounded.
 """
 
 from __future__ import annotations
@@ -103,7 +104,7 @@ def _recomputed(sales: DataFrame, column: str, value: Column, flag: str, rules:
 
 
 def repair_gross(sales: DataFrame, rules: Rules) -> DataFrame:
-    value = F.bround(F.col("unit_price") * F.col("quantity"), 2).try_cast(MONEY)
+    value = (F.col("unit_price") * F.col("quantity")).try_cast(MONEY)
     return _recomputed(sales, "gross_amount", value, "fixed_gross", rules)
 
 
@@ -114,9 +115,7 @@ def repair_net(sales: DataFrame, rules: Rules) -> DataFrame:
 
 def add_margin(sales: DataFrame) -> DataFrame:
     cost = F.col("master_cost") * F.col("quantity")
-    return sales.withColumn(
-        "gross_margin", F.bround(F.col("net_amount") - cost, 2).try_cast(MONEY)
-    )
+    return sales.withColumn("gross_margin", (F.col("net_amount") - cost).try_cast(MONEY))
 
 
 def flag_wholesale(sales: DataFrame, rules: Rules) -> DataFrame:

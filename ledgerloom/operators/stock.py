@@ -70,8 +70,8 @@ def repair_spikes(stock: DataFrame, rules: Rules) -> DataFrame:
         F.col("date_id").asc_nulls_last(), "stock_event_id"
     )
     level, change = F.col("stock_on_hand"), F.col("quantity_change")
-    error = F.bround(level - F.lag(level).over(w) - change, 2)
-    next_error = F.bround(F.lead(level).over(w) - level - F.lead(change).over(w), 2)
+    error = level - F.lag(level).over(w) - change
+    next_error = F.lead(level).over(w) - level - F.lead(change).over(w)
     low, high = rules.spike_range
     back_low, back_high = rules.rebound_range
     spike = hit(

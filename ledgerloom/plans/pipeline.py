@@ -7,7 +7,6 @@ products, staff, stores and promotions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -160,10 +159,8 @@ def run_summary(raw_counts: DataFrame, routed: DataFrame, corrected: DataFrame)
     )
 
 
-def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
-    """Several small writes at a time, so that they do not leave the cluster idle."""
-    with ThreadPoolExecutor(4) as pool:
-        list(pool.map(write, names))
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
 
 
 def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: str) -> Published:
@@ -201,38 +198,31 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
         ),
         "fact_opex": typed["fact_opex"],
     }
-    _side_by_side(
-        lambda name: conformed(name, others[name])
-        .write.mode("overwrite")
-        .parquet(out.path("published", name)),
-        others,
-    )
+    writes = {out.path("published", name): conformed(name, df) for name, df in others.items()}
+
+    # Every table keeps its rows when typed, so these are the raw figures; the copies
+    # counted with the distinct sales stand for the raw sales.
+    profiled = {**typed, "fact_sales": rows, "fact_stock": stock_events}
+    writes[out.path("metrics", "profile")] = structuring.table_profile(profiled).coalesce(1)
+    writes[out.path("metrics", "grain")] = structuring.grain_check(rows)
 
     # What the sales are joined to is read from files, so that the planner knows its true
-    # size, and can split skewed partitions where it is too large to broadcast.
-    card = work("product_card", sales.product_card(rows, product, rules))
-    cleaned = sales.clean_sales(rows, card, rules)
-    limit = work("high_value_limit", sales.high_value_limit(cleaned, rules))
+    # size, and can split skewed partitions where it is too large to broadcast. None of
+    # it waits for the other tables, so all are written side by side.
+    with ThreadPoolExecutor(4) as pool:
+        waiting = [pool.submit(_write, df, path) for path, df in writes.items()]
+        card = work("product_card", sales.product_card(rows, product, rules))
+        cleaned = sales.clean_sales(rows, card, rules)
+        limit = work("high_value_limit", sales.high_value_limit(cleaned, rules))
+        for write in waiting:
+            write.result()
+
     flagged = sales.flag_high_value(cleaned, limit)
     dimensions = [out.stored(t) for t in ("dim_employee", "dim_store", "dim_promotion")]
     lookups = {name: work(name, df) for name, df in routing.lookups(*dimensions).items()}
     routed = routing.route(flagged, lookups, rules)
     pub.write_routed(conformed("fact_sales", routed), out.path("published", "fact_sales"))
 
-    # Every table keeps its rows when typed, so these are the raw figures; the copies
-    # counted with the distinct sales stand for the raw sales.
-    profiled = {**typed, "fact_sales": rows, "fact_stock": stock_events}
-    metrics = {
-        "profile": structuring.table_profile(profiled),
-        "grain": structuring.grain_check(rows),
-        "integrity": out.integrity(),
-    }
-    _side_by_side(
-        lambda name: metrics[name]
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(out.path("metrics", name)),
-        metrics,
-    )
+    _write(out.integrity().coalesce(1), out.path("metrics", "integrity"))
     assertions.require_integrity(out.metric("integrity"))
     return out
