@@ -79,21 +79,25 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[str], obj
     return _done[key]
 
 
-def scanned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw tables written as text files and scanned back."""
+def text_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the raw tables as text files."""
 
     def write(folder: str) -> str:
         for name, df in staged.file_text(spark, sf_dir).items():
             write_csv(df, f"{folder}/{name}.csv")
         return folder
 
-    return scan_raw(spark, _once(spark, sf_dir, "raw", write))
+    return _once(spark, sf_dir, "raw", write)
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "calendar plan", lambda _: staged.calendar(spark, sf_dir))
 
 
 def run_job(spark: SparkSession, sf_dir: str, folder: str) -> pipeline.Published:
     """The whole job, from text files to published tables."""
-    raw, calendar = scanned(spark, sf_dir), staged.calendar(spark, sf_dir)
-    return pipeline.run(raw, calendar, RULES, folder)
+    raw = scan_raw(spark, text_files(spark, sf_dir))
+    return pipeline.run(raw, calendar(spark, sf_dir), RULES, folder)
 
 
 def published(spark: SparkSession, sf_dir: str) -> pipeline.Published:
@@ -138,11 +142,11 @@ def lookups(out: pipeline.Published) -> dict[str, DataFrame]:
 
 
 def scan_sales(spark, sf_dir):
-    return scanned(spark, sf_dir)["fact_sales"]
+    return scan_raw(spark, text_files(spark, sf_dir), ["fact_sales"])["fact_sales"]
 
 
 def count_raw(spark, sf_dir):
-    return raw_row_counts(scanned(spark, sf_dir))
+    return raw_row_counts(scan_raw(spark, text_files(spark, sf_dir)))
 
 
 def publish_clean(spark, sf_dir):

@@ -37,7 +37,8 @@ with lines as (
       when l_orderkey % 401 = 7 then 100 else 1 end as qty,
     case when l_orderkey % 419 = 9 then 150 when l_orderkey % 421 = 10 then -5
       else cast(round(l_discount * 100) as bigint) end as disc
-  from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{part}} on l_partkey = p_partkey
+  from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
+    join {{part}} on l_partkey = p_partkey
 ), priced as (
   select *, case when k % 409 = 8 then price_c div 100 else price_c end as sale_c,
     {_QUARTER} as qn
@@ -72,7 +73,8 @@ select concat('T', k) as transaction_id, concat('INV', k) as invoice_number,
   case substr(priority, 1, 1) when '1' then 'Cash' when '2' then 'Card' when '3' then 'UPI'
     when '4' then case k % 3 when 0 then ' cash ' when 1 then 'CARD' else 'upi ' end
     else case when k % 6 = 0 then 'NA' when k % 3 = 0 then null else 'Cash' end end as payment_mode
-from {{sale_lines}} lateral view explode(case when k % 211 = 0 then array(1, 2) else array(1) end) as c
+from {{sale_lines}}
+  lateral view explode(case when k % 211 = 0 then array(1, 2) else array(1) end) as c
 """
 
 _STOCK = """
@@ -167,8 +169,8 @@ select cast(p_partkey as string) as product_id, p_type as category, 'General' as
   case when p_partkey % 40 = 1 then ' rcm' else p_brand end as brand_name,
   'Mid' as price_tier, concat('HUB', p_size % 5) as manufacturing_hub,
   'Central' as distribution_hub, cast(p_size as string) as lead_time_days,
-  {_cents('''case when p_partkey % 50 = 0 then cast(round(p_retailprice * 100) as bigint) * 12 div 10
-    else cast(round(p_retailprice * 100) as bigint) * 6 div 10 end''')} as unit_cost,
+  {_cents('''cast(round(p_retailprice * 100) as bigint)
+    * case when p_partkey % 50 = 0 then 12 else 6 end div 10''')} as unit_cost,
   {_cents("cast(round(p_retailprice * 100) as bigint)")} as unit_price,
   '5208' as hsn_code,
   case p_partkey % 6 when 0 then '0' when 1 then '5' when 2 then '12' when 3 then '18'

@@ -55,9 +55,8 @@ def cap_salary(employee: DataFrame, rules: Rules) -> DataFrame:
     """An employee without a role keeps the salary."""
     salary = F.col("monthly_salary")
     wrong = hit((salary * 100).cast("bigint") > F.col("bound_cents"))
-    bound = (F.rint("bound_cents").try_cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(
-        MONEY
-    )
+    cents = F.rint("bound_cents").try_cast("decimal(18,0)")
+    bound = (cents * F.lit("0.01").cast("decimal(2,2)")).try_cast(MONEY)
     return (
         employee.join(salary_bounds(employee, rules), "role", "left")
         .withColumns(

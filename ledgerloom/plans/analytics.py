@@ -74,7 +74,9 @@ def _category_months(star: Star) -> DataFrame:
     return (
         _product_months(star)
         .join(star["dim_product"].select("product_id", "category"), "product_id")
-        .groupBy(F.year("sale_month").alias("year"), F.month("sale_month").alias("month"), "category")
+        .groupBy(
+            F.year("sale_month").alias("year"), F.month("sale_month").alias("month"), "category"
+        )
         .agg(_sum("net", "revenue"))
     )
 

@@ -92,8 +92,10 @@ MONEY = "date_id date; payment_mode string; {} decimal(18,2)"
 
 
 def test_settlement_drift(table, rules):
-    settled = [("2020-01-01", "Cash", 100), ("2020-01-01", "Card", 100), ("2020-01-01", "UPI", 60),
-               ("2020-01-01", "UPI", 40), ("2020-01-02", "Cash", "0.01"), (None, "Cash", 5)]
+    settled = [
+        ("2020-01-01", "Cash", 100), ("2020-01-01", "Card", 100), ("2020-01-01", "UPI", 60),
+        ("2020-01-01", "UPI", 40), ("2020-01-02", "Cash", "0.01"), (None, "Cash", 5),
+    ]
     sold = [("2020-01-01", "Cash", "100.01"), ("2020-01-01", "Card", "100.02"),
             ("2020-01-03", "UPI", 9)]
     s = table(MONEY.format("gross_amount_settled"), settled)
