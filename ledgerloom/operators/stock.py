@@ -11,48 +11,72 @@ from ..rules import STOCKOUT_EVENT, Rules
 
 
 def _with_blocks(stock: DataFrame, rules: Rules) -> DataFrame:
-    """Add `block`: the day for a product with very many events, else nothing.
+    """Add `block`: day and slice of the day for a product with very many events.
 
-    A product is one block and one sort as long as it is of moderate size. The list
-    of heavy products has at most (all rows / stock_block_rows) entries, a bound that
-    makes it safe to broadcast; without the hint its size would be guessed from the
-    whole table and the events shuffled once more.
+    A product is one block and one sort as long as it is of moderate size. A heavy one
+    is cut by day, and a heavy day into slices of event numbers, which keeps the order.
+    The lists of heavy products and of their heavy days have at most
+    (all rows / stock_block_rows) entries each, a bound that makes them safe to
+    broadcast; without the hint their size would be guessed from the whole table and
+    the events shuffled once more.
     """
+    n, limit = F.col("n"), max(rules.stock_block_rows, 1)
     heavy = (
         stock.groupBy(F.col("product_id").alias("heavy_product"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rules.stock_block_rows)
+        .where(n > rules.stock_block_rows)
         .select("heavy_product", F.lit(True).alias("is_heavy"))
     )
-    return (
+    marked = (
         stock.join(
             F.broadcast(heavy), stock["product_id"].eqNullSafe(heavy["heavy_product"]), "left"
         )
         .withColumn("is_heavy", F.coalesce("is_heavy", F.lit(False)))
-        .withColumn("block", F.when(F.col("is_heavy"), F.col("date_id")))
         .drop("heavy_product")
     )
+    days = (
+        marked.where("is_heavy")
+        .groupBy(F.col("product_id").alias("heavy_product"), F.col("date_id").alias("heavy_day"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("stock_event_id").alias("first_id"),
+            F.max("stock_event_id").alias("last_id"),
+        )
+        .where(n > rules.stock_block_rows)
+        .withColumn("slices", F.ceil(n / F.lit(limit)))
+    )
+    share = (F.col("stock_event_id") - F.col("first_id")).cast("double") / (
+        F.col("last_id").cast("double") - F.col("first_id").cast("double") + 1
+    )
+    return (
+        marked.join(
+            F.broadcast(days),
+            marked["product_id"].eqNullSafe(days["heavy_product"])
+            & marked["date_id"].eqNullSafe(days["heavy_day"]),
+            "left",
+        )
+        .withColumn("slice", F.coalesce(F.floor(share * F.col("slices")), F.lit(0)))
+        .withColumn("block", F.when(F.col("is_heavy"), F.struct("date_id", "slice")))
+        .select(*stock.columns, "is_heavy", "block")
+    )
 
 
-def _neighbours_across_days(blocks: DataFrame) -> DataFrame:
-    """For each day of a heavy product the last event before and the first after it."""
-    event = F.struct("stock_event_id", "stock_on_hand", "quantity_change")
-    days = (
-        blocks.where("is_heavy")
-        .groupBy("product_id", "date_id")
+def _neighbours_across_blocks(rows: DataFrame) -> DataFrame:
+    """For each block of a heavy product the last event before and the first after it."""
+    event = F.struct("stock_event_id", "date_id", "stock_on_hand", "quantity_change")
+    blocks = (
+        rows.where("is_heavy")
+        .groupBy("product_id", "block")
         .agg(F.min(event).alias("first"), F.max(event).alias("last"))
     )
-    by_day = W.partitionBy("product_id").orderBy(F.col("date_id").asc_nulls_last())
-    before = F.lag(F.struct("date_id", F.col("last").alias("event"))).over(by_day)
-    after = F.lead(F.struct("date_id", F.col("first").alias("event"))).over(by_day)
+    in_order = W.partitionBy("product_id").orderBy(
+        F.col("block.date_id").asc_nulls_last(), "block.slice"
+    )
+    before, after = F.lag("last").over(in_order), F.lead("first").over(in_order)
     return (
-        days.select(
-            "product_id",
-            F.col("date_id").alias("block"),
-            F.array_compact(F.array(before, after)).alias("halo"),
-        )
-        .select("product_id", "block", F.explode("halo").alias("h"))
-        .select("product_id", "block", "h.date_id", "h.event.*")
+        blocks.select("product_id", "block", F.array_compact(F.array(before, after)).alias("halo"))
+        .select("product_id", "block", F.explode("halo").alias("event"))
+        .select("product_id", "block", "event.*")
     )
 
 
@@ -63,7 +87,7 @@ def repair_spikes(stock: DataFrame, rules: Rules) -> DataFrame:
     All errors are taken from the levels as they came in.
     """
     blocks = _with_blocks(stock, rules).withColumn("kept", F.lit(True))
-    halo = _neighbours_across_days(blocks).withColumn("kept", F.lit(False))
+    halo = _neighbours_across_blocks(blocks).withColumn("kept", F.lit(False))
     rows = blocks.unionByName(halo, allowMissingColumns=True)
 
     w = W.partitionBy("product_id", "block").orderBy(

@@ -55,7 +55,7 @@ class Rules:
     gst_rates: tuple[int, ...] = GST_RATES
     gst_default: int = GST_DEFAULT
 
-    # A product with more stock events than this is processed day by day.
+    # A product, or a day of one, with more stock events than this is processed in parts.
     stock_block_rows: int = 20_000_000
 
     surge_festival: str = "Deepavali"

@@ -41,7 +41,7 @@ def plain_spikes(events):
     return result
 
 
-@pytest.mark.parametrize("block_rows", [10**9, 40])
+@pytest.mark.parametrize("block_rows", [10**9, 40, 5, 1, 0])
 def test_stock_spikes(spark, block_rows):
     rng = random.Random(7)
     events = []
