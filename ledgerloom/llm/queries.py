@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe
+from ledgerloom.llm import bpe, packing, substring_dedup, token_counts, token_files
 from ledgerloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 def registered() -> dict[str, Query]:
     return {
         "op1_byte_bpe": _over("documents", bpe.op1),
+        "op6_best_fit_packing": _over("documents", packing.op6),
+        "op7_token_counts": _over("documents", token_counts.op7),
+        "op9_token_files": _over("documents", token_files.op9),
+        "op10_substring_dedup": _over("documents", substring_dedup.op10),
     }
 
 

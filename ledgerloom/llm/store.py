@@ -10,7 +10,9 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import ledgerloom
 from ledgerloom.session import shared_folder
@@ -36,6 +38,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def text_key(text: str | Column) -> Column:
+    """16 bytes of a text's SHA-256: texts with the same key are taken as equal."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
 def prepare(spark: SparkSession) -> None:
     """Send this package to the executors once per application, and bound Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -68,7 +75,9 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def map_arrow(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | T.StructType,
 ) -> DataFrame:
     prepare(df.sparkSession)
     return df.mapInArrow(work, schema)
