@@ -7,8 +7,7 @@ go no further. A shard's segments are streamed through a suffix automaton of tho
 where the matching statistic reaches WINDOW, the window and its first occurrence are repeated.
 
 An anchor of very many segments (a passage that a third of all documents share) is split into
-chunks with an automaton each. What a chunk does not find repeated is compared between chunks by
-the hash of its window, counted before it is shuffled.
+chunks with an automaton each. The distinct windows of the chunks are compared by their hashes.
 
 Texts that are equal as a whole are one reference text; all its windows are repeated. Null and
 empty texts have no words. Repeated rows count as copies. Other columns stay as they are. Word
@@ -34,14 +33,18 @@ CHUNK = 2048  # segments whose automaton a task builds at once
 _KEY, _SPANS = "__text_key", "__spans"
 
 
-def _anchors(words: np.ndarray, window: int, anchor: int) -> np.ndarray:
-    """The anchor of each window."""
-    least, span, wanted = shingles(words, anchor), 1, window - anchor + 1
+def _anchors(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of each window, and a number that tells its occurrences in the text apart: of
+    several in a window, the first counts."""
+    runs = shingles(words, anchor)
+    values, rank = np.unique(runs, return_inverse=True)
+    least = rank * len(runs) + np.arange(len(runs))
+    span, wanted = 1, window - anchor + 1
     while span < wanted:
         more = min(span, wanted - span)
         least = np.minimum(least[:-more], least[more:])
         span += more
-    return least
+    return values[least // len(runs)], least
 
 
 def segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -54,12 +57,12 @@ def segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 words = Words(part.column("text"))
                 rows, anchors, starts, counts = [], [], [], []
                 for i in np.flatnonzero(np.diff(words.bounds) >= window).tolist():
-                    least = _anchors(words.of(i), window, anchor)
-                    at = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+                    anchor_of, place = _anchors(words.of(i), window, anchor)
+                    at = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
                     rows.append(i)
-                    anchors.append(least[at].view(np.int64))
+                    anchors.append(anchor_of[at].view(np.int64))
                     starts.append(at)
-                    counts.append(np.diff(np.append(at, len(least))))
+                    counts.append(np.diff(np.append(at, len(place))))
                 held = part.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -145,25 +148,31 @@ _HITS = "tid long, first int, last int, window_hash long"
 
 
 def _stream(shards: DataFrame, window: int) -> DataFrame:
-    """Repeated runs of windows (tid, first, last) of sorted segments. A window of a chunk that
-    is not found there comes with its hash, to be compared with the other chunks."""
+    """Repeated runs of windows (tid, first, last) of sorted segments. For comparison with the
+    other chunks of its anchor, each window of a chunk also comes with its hash: one that is not
+    repeated there in its place, of those that are one each, without a place."""
 
     def found(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         held = [np.frombuffer(r["words"], np.uint64) for r in rows]
         tid, first, last, hashes = [], [], [], []
+        known: set[int] = set()
         for r, words, hits in zip(rows, held, repeated(held, window), strict=True):
             for a, b in _runs(hits).tolist():
                 tid.append(r["tid"])
                 first.append(r["start"] + a)
                 last.append(r["start"] + b)
                 hashes.append(None)
-            if r["chunked"] and not hits.all():
+            if r["chunked"]:
                 sums = shingles(words, window).view(np.int64)
+                known.update(sums[hits].tolist())
                 for a in np.flatnonzero(~hits).tolist():
                     tid.append(r["tid"])
                     first.append(r["start"] + a)
                     last.append(r["start"] + a + 1)
                     hashes.append(int(sums[a]))
+        for name in (tid, first, last):
+            name.extend([None] * len(known))
+        hashes.extend(known)
         if tid:
             yield pa.RecordBatch.from_pydict(
                 {
@@ -264,7 +273,8 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
     open_ = hits.where("window_hash is not null")
     across = open_.groupBy("window_hash").agg(F.count("*").alias("n")).where("n > 1")
     hits = hits.where("window_hash is null").drop("window_hash")
-    hits = hits.unionByName(open_.join(across, "window_hash").select("tid", "first", "last"))
+    open_ = open_.where("tid is not null").join(across, "window_hash")
+    hits = hits.unionByName(open_.select("tid", "first", "last"))
     found = hits.groupBy("tid").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     whole = F.when(
         F.col("copies") > 1,
