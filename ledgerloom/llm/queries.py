@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, packing, substring_dedup, token_counts, token_files
+from ledgerloom.llm import (
+    bpe,
+    exact_dedup,
+    packing,
+    substring_dedup,
+    token_counts,
+    token_files,
+    topk,
+)
 from ledgerloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +27,8 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 def registered() -> dict[str, Query]:
     return {
         "op1_byte_bpe": _over("documents", bpe.op1),
+        "op2_topk_maxscore": _over("embeddings", topk.op2),
+        "op5_exact_dedup": _over("documents", exact_dedup.op5),
         "op6_best_fit_packing": _over("documents", packing.op6),
         "op7_token_counts": _over("documents", token_counts.op7),
         "op9_token_files": _over("documents", token_files.op9),
@@ -27,4 +37,7 @@ def registered() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op2_topk_maxscore": topk.OP2_SQL,
+        "op5_exact_dedup": exact_dedup.OP5_SQL,
+    }
