@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm import (
     bpe,
     exact_dedup,
+    jaccard_join,
     packing,
     substring_dedup,
     token_counts,
@@ -28,6 +29,7 @@ def registered() -> dict[str, Query]:
     return {
         "op1_byte_bpe": _over("documents", bpe.op1),
         "op2_topk_maxscore": _over("embeddings", topk.op2),
+        "op3_ngram_jaccard_join": _over("documents", jaccard_join.op3),
         "op5_exact_dedup": _over("documents", exact_dedup.op5),
         "op6_best_fit_packing": _over("documents", packing.op6),
         "op7_token_counts": _over("documents", token_counts.op7),
@@ -39,5 +41,6 @@ def registered() -> dict[str, Query]:
 def statements() -> dict[str, str]:
     return {
         "op2_topk_maxscore": topk.OP2_SQL,
+        "op3_ngram_jaccard_join": _over("documents", jaccard_join.op3),
         "op5_exact_dedup": exact_dedup.OP5_SQL,
     }
