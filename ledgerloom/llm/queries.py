@@ -15,6 +15,7 @@ from ledgerloom.llm import (
     token_counts,
     token_files,
     topk,
+    toxicity,
 )
 from ledgerloom.llm.store import table
 
@@ -30,6 +31,9 @@ def registered() -> dict[str, Query]:
         "op1_byte_bpe": _over("documents", bpe.op1),
         "op2_topk_maxscore": _over("embeddings", topk.op2),
         "op3_ngram_jaccard_join": _over("documents", jaccard_join.op3),
+        "op4_toxicity": lambda spark, sf_dir: toxicity.op4(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+        ),
         "op5_exact_dedup": _over("documents", exact_dedup.op5),
         "op6_best_fit_packing": _over("documents", packing.op6),
         "op7_token_counts": _over("documents", token_counts.op7),
