@@ -1,4 +1,9 @@
-"""Connected components by alternating large-star and small-star steps (Kiveris et al., 2014)."""
+"""Candidate pairs of buckets of any size, and the connected components of links.
+
+A bucket of m entries has m * (m - 1) / 2 pairs. So its entries are first paired with one of them,
+the pivot. Then only entries that are not connected yet are paired, which loses no link between
+components. Components come from alternating large-star and small-star steps (Kiveris et al., 2014).
+"""
 
 from __future__ import annotations
 
@@ -47,3 +52,29 @@ def components(links: DataFrame) -> DataFrame:
         state = now
         larger = written(_large_star(edges).distinct(), "links")
         edges = written(_small_star(larger).distinct(), "links")
+
+
+def pivoted(buckets: DataFrame, fits: str) -> DataFrame:
+    """Candidate pairs of each entry of a bucket (bucket, node, n, p) with the bucket's first."""
+    pivot = buckets.groupBy("bucket").agg(F.min(F.struct("n", "node", "p")).alias("pivot"))
+    pairs = buckets.join(pivot, "bucket").selectExpr(
+        "pivot.node a", "node b", "pivot.n n_a", "n n_b", "pivot.p p_a", "p p_b"
+    )
+    return pairs.where(f"a <> b and {fits}").select("a", "b").distinct()
+
+
+def unconnected(buckets: DataFrame, labels: DataFrame, fits: str) -> DataFrame:
+    """Candidate pairs of entries of the same bucket whose components differ."""
+    own = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = (
+        own.groupBy("bucket")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high")
+        .select("bucket")
+    )
+    own = written(own.join(mixed, "bucket"), "unconnected")
+    names = ("node", "n", "p", "label")
+    a = own.select("bucket", *(F.col(c).alias(f"{c}_a") for c in names))
+    b = own.select("bucket", *(F.col(c).alias(f"{c}_b") for c in names))
+    pairs = a.join(b, "bucket").where(f"label_a < label_b and {fits}")
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import components
+from ledgerloom.llm.components import components, pivoted, unconnected
 from ledgerloom.llm.store import map_arrow, slices, text_key, written
 from ledgerloom.llm.words import Words, shingles
 
@@ -231,32 +231,6 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, si
     return map_arrow(pairs, compare, "a binary, b binary")
 
 
-def _pivoted(buckets: DataFrame, fits: str) -> DataFrame:
-    """Candidate pairs of each entry of a bucket (bucket, node, n, p) with the bucket's first."""
-    pivot = buckets.groupBy("bucket").agg(F.min(F.struct("n", "node", "p")).alias("pivot"))
-    pairs = buckets.join(pivot, "bucket").selectExpr(
-        "pivot.node a", "node b", "pivot.n n_a", "n n_b", "pivot.p p_a", "p p_b"
-    )
-    return pairs.where(f"a <> b and {fits}").select("a", "b").distinct()
-
-
-def _unconnected(buckets: DataFrame, labels: DataFrame, fits: str) -> DataFrame:
-    """Candidate pairs of entries of the same bucket whose components differ."""
-    own = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = (
-        own.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high")
-        .select("bucket")
-    )
-    own = written(own.join(mixed, "bucket"), "unconnected")
-    names = ("node", "n", "p", "label")
-    a = own.select("bucket", *(F.col(c).alias(f"{c}_a") for c in names))
-    b = own.select("bucket", *(F.col(c).alias(f"{c}_b") for c in names))
-    pairs = a.join(b, "bucket").where(f"label_a < label_b and {fits}")
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-
-
 def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id of each row of `docs` (doc_id, text)."""
     docs = docs.select(
@@ -303,10 +277,10 @@ def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> Da
     buckets = written(buckets, "shared-prefixes")
 
     rep = nodes.select("set_key", "rep")
-    first = expanded.union(_pivoted(buckets, fits)).distinct()
+    first = expanded.union(pivoted(buckets, fits)).distinct()
     links = written(_verified(first, rep, docs, size, similarity), "set-links")
     labels = components(links)
-    second = _unconnected(buckets, labels, fits)
+    second = unconnected(buckets, labels, fits)
     links = links.union(_verified(second, rep, docs, size, similarity))
     labels = components(links)
 

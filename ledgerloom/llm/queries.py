@@ -10,6 +10,7 @@ from ledgerloom.llm import (
     bpe,
     exact_dedup,
     jaccard_join,
+    line_dedup,
     packing,
     substring_dedup,
     token_counts,
@@ -37,6 +38,7 @@ def registered() -> dict[str, Query]:
         "op5_exact_dedup": _over("documents", exact_dedup.op5),
         "op6_best_fit_packing": _over("documents", packing.op6),
         "op7_token_counts": _over("documents", token_counts.op7),
+        "op8_line_dedup": _over("documents", line_dedup.op8),
         "op9_token_files": _over("documents", token_files.op9),
         "op10_substring_dedup": _over("documents", substring_dedup.op10),
     }
