@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components, pivoted, unconnected
@@ -232,7 +232,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, si
 
 
 def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, text_key, n_shingles and component_id of each row of `docs` (doc_id, text)."""
+    """doc_id, text_key, n_shingles, component_id and label of each row of `docs` (doc_id, text);
+    the label is a set of the component, null if there are no shingles."""
     docs = docs.select(
         F.col("doc_id").cast("long"), "text", text_key(F.coalesce("text", F.lit(""))).alias("text_key")
     )
@@ -287,14 +288,41 @@ def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> Da
     least = nodes.select(F.col("set_key").alias("node"), F.col("rep.doc_id").alias("doc_id"))
     own = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    ids = own.join(ids, "label").select(F.col("node").alias("set_key"), "component_id")
+    ids = own.join(ids, "label").select(F.col("node").alias("set_key"), "label", "component_id")
     return members.join(ids, "set_key", "left").select(
         "doc_id",
         "text_key",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "label",
     )
 
 
+def keep_one(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
+    """The documents without shingles and one of each component, with all their columns: the one
+    of least id (a null id is greater than any), of those that repeat it the one of least digest
+    of the text, and one of its repeated rows."""
+    found = join(docs, size, similarity)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    kept = (
+        found.where("label is not null")
+        .groupBy("label")
+        .agg(F.min(order).alias("first"))
+        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key"))
+    )
+    bare = found.where("label is null").select("text_key").distinct()
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long"), text_key(text).alias("text_key")
+    )
+    one = rows.join(
+        kept, (F.col("text_key") == F.col("kept_key")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    )
+    # The join has dealt and sorted the rows by these columns, so the window costs no shuffle.
+    number = F.row_number().over(Window.partitionBy("text_key", "doc_id").orderBy("text_key"))
+    one = one.withColumn("number", number).where("number = 1").select("row.*")
+    return one.unionByName(rows.join(bare, "text_key", "left_semi").select("row.*"))
+
+
 def op3(docs: DataFrame) -> DataFrame:
-    return join(docs).drop("text_key")
+    return join(docs).drop("text_key", "label")
