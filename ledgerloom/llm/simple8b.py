@@ -16,7 +16,8 @@ import numpy as np
 # Values in a word and their width in bits, by selector; fixed values of the format.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
-MARK = np.uint64((1 << 60) - 1)
+_U = np.uint64
+MARK = _U((1 << 60) - 1)
 BLOCK = 1024
 _HEADER = struct.Struct("<4sIQQQ")  # magic, values in a block, values, words, escapes
 _MAGIC = b"LS8B"
@@ -57,8 +58,10 @@ def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
     escaped = values >= MARK
     stored = np.where(escaped, MARK, values)
     selector = _selectors(_bits(stored), block)
-    place = np.arange(n)
-    step = np.minimum(COUNTS[selector], block - place % block)
+    place = np.arange(n, dtype=np.int64)
+    step = np.zeros(-(-n // block) * block, np.int64)
+    step[:n] = COUNTS[selector]
+    step = np.minimum(step.reshape(-1, block), block - np.arange(block)).reshape(-1)[:n]
     np.minimum(step, n - place, out=step)
     after, at, starts = (place + step).tolist(), 0, []
     while at < n:
@@ -69,11 +72,10 @@ def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in range(2, 16):
         rows = np.flatnonzero(chosen == s)
-        lane = np.arange(COUNTS[s])
-        held = lane < count[rows, None]
-        part = stored[np.where(held, start[rows, None] + lane, 0)]
-        part = np.where(held, part << (lane * WIDTHS[s]).astype(np.uint64), np.uint64(0))
-        words[rows] |= np.bitwise_or.reduce(part, axis=1)
+        for lane in range(COUNTS[s] if len(rows) else 0):
+            if lane:  # part-filled words end early
+                rows = rows[count[rows] > lane]
+            words[rows] |= stored[start[rows] + lane] << _U(lane * int(WIDTHS[s]))
     offsets = np.searchsorted(start, np.arange(0, n, block)).astype("<u4")
     escapes = values[escaped]
     head = _HEADER.pack(_MAGIC, block, n, len(words), len(escapes))
@@ -102,10 +104,10 @@ def unpack(page: bytes) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     for s in range(2, 16):
         rows = np.flatnonzero(chosen == s)
-        lane = np.arange(COUNTS[s])
-        held = lane < count[rows, None]
-        part = words[rows, None] >> (lane * WIDTHS[s]).astype(np.uint64)
-        part &= np.uint64((1 << int(WIDTHS[s])) - 1)
-        out[(start[rows, None] + lane)[held]] = part[held]
+        mask = _U((1 << int(WIDTHS[s])) - 1)
+        for lane in range(COUNTS[s] if len(rows) else 0):
+            if lane:
+                rows = rows[count[rows] > lane]
+            out[start[rows] + lane] = (words[rows] >> _U(lane * int(WIDTHS[s]))) & mask
     out[out == MARK] = escapes
     return out
