@@ -63,11 +63,16 @@ def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
     step[:n] = COUNTS[selector]
     step = np.minimum(step.reshape(-1, block), block - np.arange(block)).reshape(-1)[:n]
     np.minimum(step, n - place, out=step)
-    after, at, starts = (place + step).tolist(), 0, []
-    while at < n:
-        starts.append(at)
+    # All blocks go from word to word in step.
+    after, is_start = place + step, np.zeros(n, bool)
+    at = np.arange(0, n, block)
+    end = np.minimum(at + block, n)
+    while len(at):
+        is_start[at] = True
         at = after[at]
-    start = np.array(starts, np.int64)
+        within = at < end
+        at, end = at[within], end[within]
+    start = np.flatnonzero(is_start)
     chosen, count = selector[start], step[start]
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in range(2, 16):
