@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components, pivoted, unconnected
-from ledgerloom.llm.store import map_arrow, slices, text_key, written
+from ledgerloom.llm.store import likely, map_arrow, slices, text_key, written
 from ledgerloom.llm.words import Words, shingles
 
 WORDS = 4
@@ -197,36 +197,26 @@ def _rare_pairs(postings: DataFrame, similarity: int) -> DataFrame:
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: int):
     """The pairs of sets (a, b) that are similar enough, on their whole sets."""
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                held = [values.tobytes() for values in _sets(part, size)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("set_key"), pa.array(held, pa.binary())], names=["key", "held"]
-                )
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("held_a"), batch.column("held_b")
-            linked = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                a = np.frombuffer(left[i].as_buffer(), np.uint64)
-                b = np.frombuffer(right[i].as_buffer(), np.uint64)
+        for batch in (p for b in batches for p in slices(b, "text_a")):
+            linked = []
+            sides = (_sets(batch.select([f"text_{x}"]).rename_columns(["text"]), size) for x in "ab")
+            for a, b in zip(*sides, strict=True):
                 both = len(np.intersect1d(a, b, assume_unique=True))
-                linked[i] = 100 * both >= similarity * (len(a) + len(b) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(linked))
+                linked.append(100 * both >= similarity * (len(a) + len(b) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     pairs = written(pairs, "candidates")
     wanted = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
     wanted = wanted.join(nodes, "set_key").select("set_key", F.col("rep.*"))
     wanted = wanted.withColumnsRenamed({"doc_id": "rep_id", "text_key": "rep_key"})
-    same = (docs["text_key"] == wanted["rep_key"]) & docs["doc_id"].eqNullSafe(wanted["rep_id"])
-    held = map_arrow(
-        docs.join(wanted, same).select("set_key", "text"), whole, "key binary, held binary"
-    )
-    held = written(held.groupBy("key").agg(F.first("held").alias("held")), "sets")
+    wanted = written(wanted, "candidate-sets")
+    same = (F.col("text_key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))
+    held = likely(docs, "text_key", wanted.select("rep_key")).join(wanted, same)
+    # A text for each set: texts are shorter than the hashes of their shingles, and compress.
+    held = written(held.groupBy("set_key").agg(F.first("text").alias("text")), "candidate-texts")
     for side in ("a", "b"):
-        own = held.select(F.col("key").alias(side), F.col("held").alias(f"held_{side}"))
+        own = held.select(F.col("set_key").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(own, side)
     return map_arrow(pairs, compare, "a binary, b binary")
 

@@ -20,6 +20,7 @@ from ledgerloom.session import shared_folder
 # Bytes of text that a Python task turns over at once, whatever the Arrow batch holds.
 SLICE_BYTES = 4 * 1024 * 1024
 BATCH_BYTES = 64 * 1024 * 1024
+FILTER_BITS = 27  # of the bitmap of wanted keys: 16 MB
 
 _shipped: set[str] = set()
 
@@ -43,6 +44,32 @@ def text_key(text: str | Column) -> Column:
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key is likely to be in `wanted`, a table of one column: none that is in it
+    is lost, and few others stay as long as there are fewer keys than bits. It keeps long texts
+    that no join will find from being shuffled to it. The bitmap has a fixed size, whatever the
+    input; where the keys outnumber its bits, it lets all rows pass, and the join does its work."""
+    bit = F.expr(f"xxhash64(`{key}`) & {(1 << FILTER_BITS) - 1}") + 1
+    marks = (
+        wanted.select(F.xxhash64(wanted.columns[0]).alias("__h"))
+        .select((F.expr(f"__h & {(1 << FILTER_BITS) - 1}") + 1).alias("__bit"))
+        .groupBy(F.expr("bitmap_bucket_number(__bit)").alias("__part"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(__bit))").alias("__marks"))
+    )
+    byte = F.expr("substring(__marks, cast(__place div 8 as int) + 1, 1)")
+    marked = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(
+        F.expr("shiftleft(1, cast(__place % 8 as int))")
+    )
+    return (
+        rows.withColumn("__bit", bit)
+        .withColumn("__part", F.expr("bitmap_bucket_number(__bit)"))
+        .withColumn("__place", F.expr("bitmap_bit_position(__bit)"))
+        .join(F.broadcast(marks), "__part")
+        .where(marked != 0)
+        .drop("__bit", "__part", "__place", "__marks")
+    )
+
+
 def prepare(spark: SparkSession) -> None:
     """Send this package to the executors once per application, and bound Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
