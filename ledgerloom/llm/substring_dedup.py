@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.store import map_arrow, slices, text_key, written
+from ledgerloom.llm.store import likely, map_arrow, slices, text_key, written
 from ledgerloom.llm.words import Words, mix, shingles
 
 WINDOW = 35
@@ -83,6 +83,8 @@ def repeated(held: list[np.ndarray], window: int) -> list[np.ndarray]:
     classes: dict[bytes, int] = {}
     kind = [classes.setdefault(h.tobytes(), len(classes)) for h in held]
     distinct = [np.frombuffer(c, np.uint64) for c in classes]
+    if len(distinct) == 1 < len(held):  # copies of one sequence, as in most shards
+        return [np.ones(len(h) - window + 1, bool) for h in held]
     hit = bytearray(sum(map(len, distinct)))  # by the place of a window's last word
     after: list[dict[int, int]] = [{}]
     link, length, first = [-1], [0], [0]
@@ -260,10 +262,11 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
         .agg(F.collect_list(F.struct("anchor", "start", "count", "n")).alias("held"))
     )
     held = texts.select("tid", F.col("key").alias("text_key"), F.col("doc_id").alias("rep"))
-    held = held.join(wanted, "tid")
+    held = written(held.join(wanted, "tid"), "wanted-segments")
     same = (docs["key"] == held["text_key"]) & docs["doc_id"].eqNullSafe(held["rep"])
-    same = (docs["key"] == held["text_key"]) & docs["doc_id"].eqNullSafe(held["rep"])
-    candidates = docs.join(held, same).select("tid", "text", "held")
+    same = (F.col("key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    candidates = likely(docs, "key", held.select("text_key")).join(held, same)
+    candidates = candidates.select("tid", "text", "held")
     shards = (
         _sequences(candidates, window)
         .repartition("anchor", "chunk")
