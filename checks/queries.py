@@ -163,7 +163,7 @@ def publish_quarantine(spark, sf_dir):
     out = published(spark, sf_dir)
 
     def write(folder: str) -> str:
-        pub.publish_quarantine(out.clean("fact_sales_quarantine"), folder)
+        pub.publish_quarantine(out.quarantine(), folder)
         return folder
 
     folder = _once(spark, sf_dir, "quarantine", write)

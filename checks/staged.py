@@ -58,16 +58,16 @@ _SALES = f"""
 select concat('T', k) as transaction_id, concat('INV', k) as invoice_number,
   case when k % 499 = 1 then 'not-a-date' else cast(d as string) end as date_id,
   case when k % 311 = 2 then '99' else cast(o_custkey % 5 + 1 as string) end as store_id,
-  case when k % 53 = 3 then null when k % 307 = 4 then '999999'
-    when k % 3 = 0 then concat(l_suppkey, '.0') else cast(l_suppkey as string) end as employee_id,
-  case when k % 313 = 5 then '9999999' when l_partkey % 2 = 0 then concat(l_partkey, '.0')
+  case when k % 53 = 3 then null when k % 307 = 4 then '999999' when k % 911 = 4 then 'E-77'
+    when k % 929 = 5 then '12.001' when k % 3 = 0 then concat(l_suppkey, '.0') else cast(l_suppkey as string) end as employee_id,
+  case when k % 313 = 5 then '9999999' when k % 907 = 3 then 'XYZ-9' when l_partkey % 2 = 0 then concat(l_partkey, '.0')
     else cast(l_partkey as string) end as product_id,
   cast(o_custkey as string) as customer_id,
   case when k % 35 = 6 then cast(qn + 1 as string) when k % 5 = 1 then cast(qn as string) end
     as promotion_id,
-  cast(qty as string) as quantity,
-  {_cents("sale_c")} as unit_price,
-  cast(disc as string) as discount_pct,
+  case when k % 919 = 6 then '3000000000' else cast(qty as string) end as quantity,
+  concat({_cents("sale_c")}, case when k % 937 = 7 then '5' else '' end) as unit_price,
+  case when k % 941 = 8 then '123456' else cast(disc as string) end as discount_pct,
   {_cents("gross_c + case when k % 431 = 11 then 1000 else 0 end")} as gross_amount,
   {_cents("net_c + case when k % 433 = 12 then 1000 else 0 end")} as net_amount,
   case substr(priority, 1, 1) when '1' then 'Cash' when '2' then 'Card' when '3' then 'UPI'

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.numbers import MONEY, hit
+from ..functions.numbers import AMOUNT, hit
 from ..rules import Rules
 
 
@@ -38,7 +38,7 @@ def reconcile_first_purchase(customer: DataFrame, sales: DataFrame, rules: Rules
 
 def _per_day_and_mode(df: DataFrame, amount: str, name: str) -> DataFrame:
     keys = ("date_id", "payment_mode")
-    return df.dropna(subset=keys).groupBy(*keys).agg(F.sum(amount).cast(MONEY).alias(name))
+    return df.dropna(subset=keys).groupBy(*keys).agg(F.sum(amount).cast(AMOUNT).alias(name))
 
 
 def settlement_drift(settlement: DataFrame, sales: DataFrame, rules: Rules) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Every repair adds a boolean `fixed_...` column, so that corrections are counted
 from the result and not by extra passes. All joins here bring in one table, the
-product card, with one row per product. Prices, costs and amounts have two decimals,
-so their products with whole quantities are exact; only percentages are rounded.
+product card, with one row per product. Prices, costs and amounts are decimals, so
+their products with whole quantities are exact; only percentages are rounded.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import MONEY, clipped, hit, percent_off
+from ..functions.numbers import AMOUNT, cents, clipped, hit, percent_off
 from ..functions.quantiles import grouped_quantiles, overall_quantile
 from ..functions.text import mapped, strip
 from ..rules import UNKNOWN_MODE, Rules
@@ -43,7 +43,7 @@ def quantity_caps(sales: DataFrame, rules: Rules) -> DataFrame:
     """Per product the quantity quantile and the whole number it is capped to."""
     return grouped_quantiles(
         sales, ["product_id"], "quantity", {"quantity_limit": rules.quantity_quantile}
-    ).withColumn("quantity_cap", F.col("quantity_limit").cast("int"))
+    ).withColumn("quantity_cap", F.col("quantity_limit").cast("bigint"))
 
 
 def product_card(sales: DataFrame, product: DataFrame, rules: Rules) -> DataFrame:
@@ -104,7 +104,7 @@ def _recomputed(sales: DataFrame, column: str, value: Column, flag: str, rules:
 
 
 def repair_gross(sales: DataFrame, rules: Rules) -> DataFrame:
-    value = (F.col("unit_price") * F.col("quantity")).try_cast(MONEY)
+    value = (F.col("unit_price") * F.col("quantity")).cast(AMOUNT)
     return _recomputed(sales, "gross_amount", value, "fixed_gross", rules)
 
 
@@ -115,7 +115,7 @@ def repair_net(sales: DataFrame, rules: Rules) -> DataFrame:
 
 def add_margin(sales: DataFrame) -> DataFrame:
     cost = F.col("master_cost") * F.col("quantity")
-    return sales.withColumn("gross_margin", (F.col("net_amount") - cost).try_cast(MONEY))
+    return sales.withColumn("gross_margin", (F.col("net_amount") - cost).cast(AMOUNT))
 
 
 def flag_wholesale(sales: DataFrame, rules: Rules) -> DataFrame:
@@ -124,15 +124,15 @@ def flag_wholesale(sales: DataFrame, rules: Rules) -> DataFrame:
 
 def high_value_limit(sales: DataFrame, rules: Rules) -> DataFrame:
     """One row: the quantile of the net amount over all sales, in cents."""
-    cents = sales.select((F.col("net_amount") * 100).cast("bigint").alias("cents"))
-    return overall_quantile(cents, "cents", rules.high_value_quantile, "limit_cents")
+    amounts = sales.select(cents(F.col("net_amount")).alias("cents"))
+    return overall_quantile(amounts, "cents", rules.high_value_quantile, "limit_cents")
 
 
 def flag_high_value(sales: DataFrame, limit: DataFrame) -> DataFrame:
     """`limit` has one row; it enters as a scalar subquery, not as a join."""
     return sales.withColumn(
         "is_high_value",
-        hit((F.col("net_amount") * 100).cast("bigint") > limit.select("limit_cents").scalar()),
+        hit(cents(F.col("net_amount")) > limit.select("limit_cents").scalar()),
     )
 
 

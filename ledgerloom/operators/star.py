@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..rules import Rules
-from ..schemas import LAYOUT, STAR
+from ..schemas import LAYOUT, REFUSED, STAR, joined_notes
 from ..sources.raw import stacked
 
-# Texts of the values a declared type refused, `column=value; ...`; NULL if none.
-REFUSED = "refused_values"
-
 
 def _conformed(df: DataFrame, field: T.StructField) -> Column:
     if field.name not in df.columns:
@@ -26,10 +23,12 @@ def apply_schema(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()
     """Cast to the declared types and note every value that does not fit.
 
     The note travels with the row, so accepted and refused rows are two filters on
-    one table rather than two passes. A column the table lacks is missing throughout.
+    one table rather than two passes. What the table itself has noted stays in the note.
+    A column the table lacks is missing throughout.
     """
     given = dict(zip(df.columns, df.schema.fields, strict=True))
-    notes = [
+    notes = [F.col(REFUSED)] if REFUSED in given else []
+    notes += [
         F.when(
             F.col(f.name).isNotNull() & _conformed(df, f).isNull(),
             F.concat(F.lit(f.name + "="), F.col(f.name).cast("string")),
@@ -37,9 +36,10 @@ def apply_schema(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()
         for f in schema.fields
         if f.name in given and given[f.name].dataType != f.dataType
     ]
-    note = F.nullif(F.concat_ws("; ", *notes), F.lit("")) if notes else F.lit(None).cast("string")
     return df.select(
-        *[_conformed(df, f).alias(f.name) for f in schema.fields], note.alias(REFUSED), *keep
+        *[_conformed(df, f).alias(f.name) for f in schema.fields],
+        joined_notes(notes).alias(REFUSED),
+        *keep,
     )
 
 

@@ -63,7 +63,8 @@ def _with_blocks(stock: DataFrame, rules: Rules) -> DataFrame:
 
 def _neighbours_across_blocks(rows: DataFrame) -> DataFrame:
     """For each block of a heavy product the last event before and the first after it."""
-    event = F.struct("stock_event_id", "date_id", "stock_on_hand", "quantity_change")
+    # A block lies within one day, so this is the order of the events in it.
+    event = F.struct("stock_event_id", "stock_on_hand", "quantity_change", "date_id")
     blocks = (
         rows.where("is_heavy")
         .groupBy("product_id", "block")
@@ -90,8 +91,9 @@ def repair_spikes(stock: DataFrame, rules: Rules) -> DataFrame:
     halo = _neighbours_across_blocks(blocks).withColumn("kept", F.lit(False))
     rows = blocks.unionByName(halo, allowMissingColumns=True)
 
+    # Level and change settle the order of events that repeat a number, here as in the halo.
     w = W.partitionBy("product_id", "block").orderBy(
-        F.col("date_id").asc_nulls_last(), "stock_event_id"
+        F.col("date_id").asc_nulls_last(), "stock_event_id", "stock_on_hand", "quantity_change"
     )
     level, change = F.col("stock_on_hand"), F.col("quantity_change")
     error = level - F.lag(level).over(w) - change

@@ -12,14 +12,13 @@ from ..functions.dates import parse_date, parse_month
 from ..functions.numbers import money, whole
 from ..functions.text import product_key
 from ..rules import Rules
-from ..schemas import STAR
+from ..schemas import REFUSED, STAR, UNREADABLE, joined_notes
 from ..sources.raw import stacked
 
 # Columns whose raw form differs from the declared type.
 _SPECIAL = {
     ("fact_opex", "month"): "month label",
     ("fact_purchase_order", "quantity_ordered"): "number",
-    ("fact_sales", "discount_pct"): "percent",
 }
 
 DISCRETE = (
@@ -36,25 +35,39 @@ def _typed(table: str, name: str, declared: T.DataType, rules: Rules) -> Column:
         return product_key(c)
     if special == "month label":
         return parse_month(c, rules.date_formats)
-    if special == "percent":
-        return c.try_cast("decimal(7,2)")
     if special == "number" or isinstance(declared, T.DecimalType):
         return money(c)
     if isinstance(declared, T.DateType):
         return parse_date(c, rules.date_formats)
-    if isinstance(declared, T.LongType):
+    if isinstance(declared, (T.LongType, T.IntegerType)):
         return whole(c)
-    if isinstance(declared, T.IntegerType):
-        return whole(c).try_cast("int")
     return c
 
 
+def _may_be_unreadable(table: str, name: str, declared: T.DataType) -> bool:
+    """Dates and ordered quantities are read with errors taken as missing."""
+    special = _SPECIAL.get((table, name))
+    return special is not None or isinstance(declared, T.DateType)
+
+
 def structure_table(table: str, raw: DataFrame, rules: Rules) -> DataFrame:
-    """Type one raw table; whatever cannot be read becomes missing."""
+    """Type one raw table, with notes of the texts that could not be read.
+
+    An unreadable date or ordered quantity is missing, and noted in `unreadable_values`.
+    Any other unreadable number is noted in `refused_values`, with which a row is not loaded.
+    Whole numbers are read as BIGINT and money with four decimals, whatever is declared: the
+    rules see large values, and only publishing narrows them.
+    """
     declared = STAR[table]
-    return raw.select(
-        [_typed(table, c, declared[c].dataType, rules).alias(c) for c in raw.columns]
-    )
+    typed, notes = [], {REFUSED: [], UNREADABLE: []}
+    for c in raw.columns:
+        column = _typed(table, c, declared[c].dataType, rules)
+        typed.append(column.alias(c))
+        if not isinstance(declared[c].dataType, T.StringType) and c != "product_id":
+            kind = UNREADABLE if _may_be_unreadable(table, c, declared[c].dataType) else REFUSED
+            lost = F.col(c).isNotNull() & column.isNull()
+            notes[kind].append(F.when(lost, F.concat(F.lit(c + "="), F.col(c))))
+    return raw.select(*typed, *(joined_notes(n).alias(kind) for kind, n in notes.items()))
 
 
 def structure(raw: dict[str, DataFrame], rules: Rules) -> dict[str, DataFrame]:

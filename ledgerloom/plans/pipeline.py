@@ -1,8 +1,9 @@
 """The batch job: raw tables in, published tables, working tables and metrics out.
 
-The sales table is shuffled twice: to drop equal rows, and to lay the result out
-by month. What lies between are narrow passes over a written table that look up
-products, staff, stores and promotions.
+The sales table is shuffled as whole rows twice: to drop equal rows, and to lay the
+result out by month. The grain report shuffles two columns of it, the other reports sums.
+What lies between are narrow passes over a written table that look up products, staff,
+stores and promotions.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import assertions, reconcile, routing, sales, stock, structuring, tables
-from ..operators.star import REFUSED, accepted, apply_schema, load_star, refused
+from ..operators.star import accepted, apply_schema, load_star, refused
 from ..rules import Rules
-from ..schemas import LAYOUT, RAW_TABLES, STAR
+from ..schemas import LAYOUT, RAW_TABLES, REFUSED, STAR, UNREADABLE
 from ..sources import published as pub
 from ..sources.raw import raw_row_counts, stacked
 
@@ -32,11 +33,18 @@ COUNTED_FLAGS = {
 }
 
 
+# The product of a sale as it was written, which need not be a number.
+PRODUCT_TEXT = "product_text"
+
+
 def stored_schema(table: str) -> T.StructType:
-    """Columns of a published table: declared ones, the refusal note, repair flags."""
+    """Columns of a published table: declared ones, the notes, repair flags."""
     declared = STAR["fact_sales_quarantine" if table == "fact_sales" else table]
+    texts = [REFUSED, UNREADABLE] if table in RAW_TABLES else [REFUSED]
+    texts += [PRODUCT_TEXT] if table == "fact_sales" else []
     flags = [T.StructField(f, T.BooleanType()) for f in COUNTED_FLAGS.get(table, ())]
-    return T.StructType([*declared.fields, T.StructField(REFUSED, T.StringType()), *flags])
+    notes = [T.StructField(name, T.StringType()) for name in texts]
+    return T.StructType([*declared.fields, *notes, *flags])
 
 
 @dataclass(frozen=True)
@@ -74,12 +82,27 @@ class Published:
         return accepted(self.table(name))
 
     def star(self) -> dict[str, DataFrame]:
+        """The tables to be loaded, if the run has ended and its final conditions hold."""
+        assertions.require_integrity(self.metric("integrity"))
         return load_star({name: self.table(name, layout=True) for name in STAR}, self.rules)
 
+    def quarantine(self) -> DataFrame:
+        """Every quarantined sale, the product as it was written."""
+        columns = STAR["fact_sales_quarantine"].fieldNames()
+        product = F.col(PRODUCT_TEXT).alias("product_id")
+        sales = self.stored("fact_sales").where(F.col("route") == pub.QUARANTINE)
+        return sales.select(*[product if c == "product_id" else c for c in columns])
+
+    def refused_rows(self, name: str) -> DataFrame:
+        """Whole rows of a table that is loaded which have a value that it cannot hold; the
+        note has the text. Quarantined sales are not loaded, so nothing of them is refused."""
+        return refused(self.table(name))
+
     def refused(self) -> DataFrame:
         return stacked(
-            refused(self.table(name)).select(F.lit(name).alias("table_name"), REFUSED)
+            self.refused_rows(name).select(F.lit(name).alias("table_name"), REFUSED)
             for name in STAR
+            if name != "fact_sales_quarantine"
         )
 
     def working(self, name: str) -> DataFrame:
@@ -93,12 +116,21 @@ class Published:
         return corrections({name: self.stored(name) for name in COUNTED_FLAGS})
 
     def run_summary(self) -> DataFrame:
-        routes = self.stored("fact_sales").groupBy("route").agg(F.count(F.lit(1)).alias("n"))
-        others = {name: self.stored(name) for name in RAW_TABLES if name != "fact_sales"}
-        out = raw_row_counts(others).select("table_name", F.lit(pub.CLEAN).alias("route"), "n")
-        routed = routes.select(F.lit("fact_sales").alias("table_name"), "route", "n")
+        def ways(name: str) -> DataFrame:
+            """Rows of a table by where they went: a quarantined row is never refused too."""
+            df = self.stored(name)
+            quarantined = F.col("route") == pub.QUARANTINE if name == "fact_sales" else F.lit(False)
+            way = (
+                F.when(quarantined, pub.QUARANTINE)
+                .when(F.col(REFUSED).isNotNull(), "refused")
+                .otherwise(pub.CLEAN)
+            )
+            counts = df.groupBy(way.alias("route")).agg(F.count(F.lit(1)).alias("n"))
+            return counts.select(F.lit(name).alias("table_name"), "route", "n")
+
         raw_counts = self.metric("profile").select("table_name", F.col("n_rows").alias("n"))
-        return run_summary(raw_counts.distinct(), out.unionByName(routed), self.corrections())
+        routed = stacked(ways(name) for name in RAW_TABLES)
+        return run_summary(raw_counts.distinct(), routed, self.corrections())
 
     def quarantine_reasons(self) -> DataFrame:
         quarantined = self.table("fact_sales_quarantine")
@@ -131,14 +163,17 @@ def corrections(flagged: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_summary(raw_counts: DataFrame, routed: DataFrame, corrected: DataFrame) -> DataFrame:
-    """Rows in, out, quarantined and dropped and values corrected, per table and in total."""
+    """Rows in, out, quarantined, refused and dropped and values corrected, per table and in
+    total. Copies of a row are what is dropped."""
     n = F.col("n")
     ways = routed.groupBy("table_name").agg(
         F.sum(F.when(F.col("route") == pub.CLEAN, n)).alias("rows_out"),
         F.sum(F.when(F.col("route") == pub.QUARANTINE, n)).alias("rows_quarantined"),
+        F.sum(F.when(F.col("route") == "refused", n)).alias("rows_refused"),
     )
     fixes = corrected.groupBy("table_name").agg(F.sum("n_corrected").alias("values_corrected"))
-    numbers = ["rows_in", "rows_out", "rows_quarantined", "values_corrected"]
+    ways_out = ["rows_out", "rows_quarantined", "rows_refused"]
+    numbers = ["rows_in", *ways_out, "values_corrected"]
     return (
         raw_counts.withColumnRenamed("n", "rows_in")
         .join(ways, "table_name", "left")
@@ -151,9 +186,8 @@ def run_summary(raw_counts: DataFrame, routed: DataFrame, corrected: DataFrame)
             "rows_in",
             "rows_out",
             "rows_quarantined",
-            (F.col("rows_in") - F.col("rows_out") - F.col("rows_quarantined")).alias(
-                "rows_dropped"
-            ),
+            "rows_refused",
+            F.expr(" - ".join(["rows_in", *ways_out])).alias("rows_dropped"),
             "values_corrected",
         )
     )
@@ -167,9 +201,10 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
     """Run the whole job into `folder`, which all executors must be able to reach.
 
     Raises IntegrityError after writing when clean sales break a final condition;
-    the folder then serves to find out why and is not to be loaded.
+    the folder then serves to find out why, and `Published.star` refuses it.
     """
     out = Published(calendar.sparkSession, folder, rules)
+    _write(assertions.unfinished(out.spark), out.path("metrics", "integrity"))
     typed = structuring.structure(raw, rules)
 
     def work(name: str, df: DataFrame) -> DataFrame:
@@ -178,7 +213,10 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
     def conformed(name: str, df: DataFrame) -> DataFrame:
         schema = stored_schema(name)
         declared = STAR["fact_sales_quarantine" if name == "fact_sales" else name]
-        return apply_schema(df, declared, COUNTED_FLAGS.get(name, ())).select(*schema.fieldNames())
+        beside = [c for c in schema.fieldNames() if c not in {*declared.fieldNames(), REFUSED}]
+        if PRODUCT_TEXT in beside:
+            df = df.withColumn(PRODUCT_TEXT, F.col("product_id"))
+        return apply_schema(df, declared, tuple(beside)).select(*schema.fieldNames())
 
     rows = work("fact_sales", structuring.distinct_rows(typed["fact_sales"]))
     stock_events = work("fact_stock", typed["fact_stock"])

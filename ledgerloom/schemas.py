@@ -7,42 +7,45 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Declared column types. `text(n)` is a text of at most n characters.
+# Declared column types, as Spark DDL. (StructType.fromDDL needs a session, which
+# is not there when a module is imported, so the few types are read here.)
 _DECLARED = {
-    "dim_date": """date_id date, year int, month int, day int, day_of_week text(10),
-        is_weekend_sunday boolean, tamil_month text(15), festival_name text(30),
-        season_tag text(20)""",
-    "dim_store": "store_id bigint, store_name text(40), store_type text(20), location text(40)",
-    "dim_product": """product_id bigint, category text(20), subcategory text(20),
-        item_name text(60), brand_name text(50), price_tier text(15),
-        manufacturing_hub text(20), distribution_hub text(20), lead_time_days int,
-        unit_cost decimal(10,2), unit_price decimal(10,2), hsn_code text(8),
+    "dim_date": """date_id date, year int, month int, day int, day_of_week varchar(10),
+        is_weekend_sunday boolean, tamil_month varchar(15), festival_name varchar(30),
+        season_tag varchar(20)""",
+    "dim_store": "store_id bigint, store_name varchar(40), store_type varchar(20), location varchar(40)",
+    "dim_product": """product_id bigint, category varchar(20), subcategory varchar(20),
+        item_name varchar(60), brand_name varchar(50), price_tier varchar(15),
+        manufacturing_hub varchar(20), distribution_hub varchar(20), lead_time_days int,
+        unit_cost decimal(10,2), unit_price decimal(10,2), hsn_code varchar(8),
         gst_rate decimal(4,2)""",
-    "dim_customer": """customer_id bigint, customer_type text(20), home_area text(30),
-        first_purchase_date date, preferred_category text(20), customer_tenure_days int""",
-    "dim_employee": """employee_id bigint, role text(40), employment_type text(15),
+    "dim_customer": """customer_id bigint, customer_type varchar(20), home_area varchar(30),
+        first_purchase_date date, preferred_category varchar(20), customer_tenure_days int""",
+    "dim_employee": """employee_id bigint, role varchar(40), employment_type varchar(15),
         monthly_salary decimal(10,2), join_date date, store_id bigint""",
-    "dim_promotion": """promotion_id bigint, promotion_name text(50), start_date date,
-        end_date date, target_category text(20), discount_pct decimal(5,2)""",
-    "fact_sales": """transaction_id text(20), invoice_number text(20), date_id date,
+    "dim_promotion": """promotion_id bigint, promotion_name varchar(50), start_date date,
+        end_date date, target_category varchar(20), discount_pct decimal(5,2)""",
+    "fact_sales": """transaction_id varchar(20), invoice_number varchar(20), date_id date,
         store_id bigint, employee_id bigint, product_id bigint, customer_id bigint,
         promotion_id bigint, quantity int, unit_price decimal(10,2),
         discount_pct decimal(5,2), gross_amount decimal(12,2), net_amount decimal(12,2),
-        payment_mode text(10), gross_margin decimal(12,2), is_wholesale_bulk boolean,
+        payment_mode varchar(10), gross_margin decimal(12,2), is_wholesale_bulk boolean,
         is_high_value boolean""",
     "fact_stock": """stock_event_id bigint, date_id date, product_id bigint,
-        event_type text(15), quantity_change decimal(10,2), stock_on_hand decimal(10,2)""",
+        event_type varchar(15), quantity_change decimal(10,2), stock_on_hand decimal(10,2)""",
     "fact_purchase_order": """po_id bigint, product_id bigint, order_date date,
         expected_delivery_date date, actual_delivery_date date, quantity_ordered int,
-        quantity_received decimal(10,2), po_status text(20), days_to_deliver decimal(10,2)""",
-    "fact_payment_settlement": """settlement_id bigint, date_id date, payment_mode text(10),
-        gross_amount_settled decimal(12,2), settlement_status text(15)""",
-    "fact_opex": """opex_id bigint, month date, expense_type text(25), amount decimal(12,2),
+        quantity_received decimal(10,2), po_status varchar(20), days_to_deliver decimal(10,2)""",
+    "fact_payment_settlement": """settlement_id bigint, date_id date, payment_mode varchar(10),
+        gross_amount_settled decimal(12,2), settlement_status varchar(15)""",
+    "fact_opex": """opex_id bigint, month date, expense_type varchar(25), amount decimal(12,2),
         headcount decimal(10,2), store_id bigint""",
 }
-_DECLARED["fact_sales_quarantine"] = _DECLARED["fact_sales"] + ", quarantine_reason text(200)"
+_DECLARED["fact_sales_quarantine"] = _DECLARED["fact_sales"] + ", quarantine_reason varchar(200)"
 
 # Columns the job adds; a raw file does not have them.
 DERIVED = {
@@ -57,6 +60,11 @@ OPTIONAL = {"fact_opex": {"headcount"}}
 # Folder columns a star table has beside the declared ones.
 LAYOUT = {"fact_sales": ("sale_month",)}
 
+# Notes on a row: texts of values that cannot be loaded, and of values read as missing by rule.
+# Each is `column=value; ...`, NULL if there are none. A row with a refused value is not loaded.
+REFUSED = "refused_values"
+UNREADABLE = "unreadable_values"
+
 PRIMARY_KEYS = {
     "dim_date": "date_id",
     "dim_store": "store_id",
@@ -122,6 +130,12 @@ STAR = {
 }
 
 
+def joined_notes(notes: list[Column]) -> Column:
+    if not notes:
+        return F.lit(None).cast("string")
+    return F.nullif(F.concat_ws("; ", *notes), F.lit(""))
+
+
 def raw_columns(table: str) -> list[str]:
     return [f for f in STAR[table].fieldNames() if f not in DERIVED.get(table, ())]
 

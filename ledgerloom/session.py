@@ -30,13 +30,20 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     The optimizer joins small shuffle partitions but cannot add any, so the number
     must be high enough for a partition to fit the memory of a task.
     """
-    partitions = min(max(200, -(-input_bytes // _SHUFFLE_BYTES)), 100_000)
+    partitions = max(200, -(-input_bytes // _SHUFFLE_BYTES))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(_SPLIT_BYTES),
     }
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files under a folder, in whatever file system it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
+
+
 def build_session(name: str, master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(name).config("spark.ui.enabled", "false")
     if master:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import missing_to_null
 from ..schemas import OPTIONAL, RAW_TABLES, raw_columns
@@ -18,14 +19,62 @@ _CSV = {
 }
 
 
-def scan_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+# Holds the line where it has not as many fields as the header.
+_MALFORMED = "_malformed"
+
+
+def _lines(spark: SparkSession, path: str, multiline: bool, mode: str) -> DataFrame:
+    # Lines are only held against the header if all of their fields are read.
+    reader = spark.read.options(
+        **_CSV,
+        enforceSchema="false",
+        multiLine=str(multiline).lower(),
+        mode=mode,
+        columnPruning="false",
+    )
+    columns = [T.StructField(c, T.StringType()) for c in reader.csv(path).columns]
+    if mode == "PERMISSIVE":
+        columns.append(T.StructField(_MALFORMED, T.StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", _MALFORMED)
+    return reader.schema(T.StructType(columns)).csv(path)
+
+
+def _malformed(lines: DataFrame) -> Column:
+    """A text that is empty for a good line. Spark refuses to scan nothing but the lines that
+    are malformed, so that it also looks at a column, if only rows are counted."""
+    first = F.coalesce(lines.columns[0], F.lit(""))
+    return F.coalesce(F.concat(first, F.col(_MALFORMED)), F.lit(""))
+
+
+def scan_text(
+    spark: SparkSession, path: str, multiline: bool = False, skip_malformed: bool = False
+) -> DataFrame:
     """A text file, or a folder of them, by header; all columns as text.
 
-    Files of a folder whose headers differ are an error. Texts with line breaks need
-    `multiline`, which reads each file in one task.
+    Files of a folder whose headers differ are an error, and so is a line with fewer or more
+    fields than the header, such as either half of a quoted line break; to skip such lines,
+    read them with `malformed_lines` as well. Texts with line breaks need `multiline`, which
+    reads each file in one task.
     """
-    reader = spark.read.options(**_CSV, enforceSchema="false", mode="PERMISSIVE")
-    return missing_to_null(reader.option("multiLine", str(multiline).lower()).csv(path))
+    if not skip_malformed:
+        return missing_to_null(_lines(spark, path, multiline, "FAILFAST"))
+    lines = _lines(spark, path, multiline, "PERMISSIVE")
+    return missing_to_null(lines.where(_malformed(lines) == "").drop(_MALFORMED))
+
+
+def malformed_lines(
+    spark: SparkSession,
+    folder: str,
+    tables: Iterable[str] = RAW_TABLES,
+    multiline: bool = False,
+) -> DataFrame:
+    """table_name and line of all lines that `skip_malformed` leaves out."""
+    parts = []
+    for table in tables:
+        lines = _lines(spark, f"{folder}/{table}.csv", multiline, "PERMISSIVE")
+        found = lines.where(_malformed(lines) != "")
+        parts.append(found.select(F.lit(table).alias("table_name"), F.col(_MALFORMED).alias("line")))
+    return stacked(parts)
 
 
 def scan_raw(
@@ -33,11 +82,12 @@ def scan_raw(
     folder: str,
     tables: Iterable[str] = RAW_TABLES,
     multiline: bool = False,
+    skip_malformed: bool = False,
 ) -> dict[str, DataFrame]:
     """Read `<folder>/<table>.csv` for every table; columns may stand in any order."""
     scanned = {}
     for table in tables:
-        df = scan_text(spark, f"{folder}/{table}.csv", multiline)
+        df = scan_text(spark, f"{folder}/{table}.csv", multiline, skip_malformed)
         expected = raw_columns(table)
         unknown = set(df.columns) - set(expected)
         missing = set(expected) - set(df.columns) - OPTIONAL.get(table, set())

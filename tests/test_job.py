@@ -10,6 +10,7 @@ from ledgerloom.operators import routing, sales, structuring
 from ledgerloom.operators.assertions import IntegrityError
 from ledgerloom.plans import findings, pipeline
 from ledgerloom.schemas import LAYOUT, RAW_TABLES, STAR
+from ledgerloom.session import input_bytes, settings_for
 from ledgerloom.sources import published as pub
 from ledgerloom.sources.raw import write_csv
 from pyspark.sql import functions as F
@@ -36,18 +37,47 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
     assert compare.difference(got, want) is None
 
 
-def test_rows_add_up(job):
+def test_rows_add_up(spark, job, sf_dir, tmp_path):
+    """The summary against what is in the written folders."""
     total = {r["table_name"]: r.asDict() for r in job.run_summary().collect()}
     assert set(total) == {*RAW_TABLES, "total"}
-    for name, r in total.items():
-        assert r["rows_in"] == r["rows_out"] + r["rows_quarantined"] + r["rows_dropped"]
-        assert (r["rows_dropped"] > 0) == (name in ("fact_sales", "total"))
+    folder = str(tmp_path)
+    pub.publish_clean({name: job.clean(name) for name in RAW_TABLES}, folder)
+    pub.publish_quarantine(job.quarantine(), folder)
+    raw = staged.raw_tables(spark, sf_dir)
+    for name in RAW_TABLES:
+        r = total[name]
+        assert r["rows_out"] == spark.read.parquet(f"{folder}/{name}_clean").count()
+        assert r["rows_in"] == raw[name].count()
+        quarantined = 0
+        if name == "fact_sales":
+            quarantined = spark.read.parquet(f"{folder}/quarantined_fact_sales").count()
+        assert r["rows_quarantined"] == quarantined
+        assert r["rows_refused"] == job.refused_rows(name).count()
+        copies = raw[name].count() - raw[name].distinct().count() if name == "fact_sales" else 0
+        assert r["rows_dropped"] == copies
+
+
+def test_refused_rows_are_kept_whole(job):
+    refused = job.refused_rows("fact_sales").collect()
+    assert refused and all(r["transaction_id"] and r["refused_values"] for r in refused)
+    notes = " ".join(r["refused_values"] for r in refused)
+    assert "employee_id=E-77" in notes
+    assert job.refused().count() == sum(job.refused_rows(t).count() for t in STAR
+                                        if t != "fact_sales_quarantine")
+
+
+def test_quarantine_keeps_the_written_product(job):
+    products = {r[0] for r in job.quarantine().select("product_id").distinct().collect()}
+    assert "XYZ-9" in products and "9999999" in products
+    assert job.quarantine().count() == job.table("fact_sales_quarantine").count()
 
 
 def test_routes_are_disjoint_and_complete(spark, sf_dir, job):
     stored = job.stored("fact_sales")
     rows = queries.rows(spark, sf_dir).count()
-    assert job.clean("fact_sales").count() + job.clean("fact_sales_quarantine").count() == rows
+    loaded = job.clean("fact_sales").count() + job.refused_rows("fact_sales").count()
+    assert loaded + job.quarantine().count() == rows
     assert stored.where("(route = 'clean') != (quarantine_reason is null)").count() == 0
 
 
@@ -75,6 +105,27 @@ def test_failed_condition_stops_the_job(spark, sf_dir, tmp_path):
     raw["fact_sales"] = raw["fact_sales"].withColumn("discount_pct", F.lit(None).cast("string"))
     with pytest.raises(IntegrityError, match="discount_range"):
         pipeline.run(raw, staged.calendar(spark, sf_dir), staged.RULES, str(tmp_path))
+    failed = pipeline.Published(spark, str(tmp_path), staged.RULES)
+    with pytest.raises(IntegrityError, match="discount_range"):
+        failed.star()
+
+
+def test_a_run_that_has_not_ended_is_not_loaded(spark, sf_dir, tmp_path, monkeypatch):
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(pipeline.structuring, "distinct_rows", stopped)
+    raw = staged.raw_tables(spark, sf_dir)
+    with pytest.raises(RuntimeError, match="stopped"):
+        pipeline.run(raw, staged.calendar(spark, sf_dir), staged.RULES, str(tmp_path))
+    with pytest.raises(IntegrityError, match="finished"):
+        pipeline.Published(spark, str(tmp_path), staged.RULES).star()
+
+
+def test_final_conditions_read_the_sales_once(job):
+    plan = plan_of(job.integrity())
+    assert len(re.findall(r"FileScan parquet \[[^\]]*gross_amount", plan)) == 1
+    assert plan.count("FileScan") == 2
 
 
 def test_csv_publication(spark, job, tmp_path):
@@ -96,14 +147,27 @@ def test_folder_to_folder(spark, sf_dir, tmp_path):
     for name, df in staged.file_text(spark, sf_dir).items():
         write_csv(df, f"{raw}/{name}.csv")
     write_csv(staged.calendar(spark, sf_dir), f"{raw}/dim_date.csv")
-    out = run_folder(spark, raw, f"{tmp_path}/out", staged.RULES, csv=True)
+    with open(f"{raw}/dim_store.csv/part-broken.csv", "w") as f:
+        f.write("store_id,store_name,store_type,location\n7,too short\n")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        out = run_folder(spark, raw, f"{tmp_path}/out", staged.RULES, csv=True)
+        assert {name: spark.conf.get(name) for name in names} == settings_for(
+            input_bytes(spark, raw)
+        )
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    lines = spark.read.parquet(f"{tmp_path}/out/malformed").collect()
+    assert [tuple(r) for r in lines] == [("dim_store", "7,too short")]
     expected = queries.published(spark, sf_dir)
     for table in ("dim_date", "dim_customer", "fact_sales", "fact_sales_quarantine"):
         assert out.clean(table).exceptAll(expected.clean(table)).count() == 0
     text = pub.read_published(spark, f"{tmp_path}/out/clean", "fact_sales_clean", "csv")
     assert text.count() == expected.clean("fact_sales").count()
     reasons = {r["quarantine_reason"]: r["n"] for r in out.quarantine_reasons().collect()}
-    assert sum(reasons.values()) == expected.clean("fact_sales_quarantine").count()
+    assert sum(reasons.values()) == expected.quarantine().count()
 
 
 # --- plans -------------------------------------------------------------------

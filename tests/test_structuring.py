@@ -6,7 +6,7 @@ from ledgerloom.functions.numbers import whole
 from ledgerloom.functions.text import missing_to_null, product_key, strip, title_case
 from ledgerloom.operators import star, structuring
 from ledgerloom.schemas import RAW_TABLES, STAR, raw_schema
-from ledgerloom.sources.raw import raw_row_counts, scan_raw, write_csv
+from ledgerloom.sources.raw import malformed_lines, raw_row_counts, scan_raw, write_csv
 from pyspark.sql import functions as F
 
 
@@ -62,6 +62,43 @@ def test_scan_of_texts_with_line_breaks(spark, tmp_path):
     assert values(df, "store_name", "location") == [("a\nb", "d")]
 
 
+def test_malformed_lines_are_an_error_or_told(spark, tmp_path):
+    write_text(tmp_path / "dim_store.csv", "store_id,store_name,store_type,location",
+               "1,a,b,c", '2,"x', 'y",b,c', "3,a,b,c,d", "4,a", "5,a,,c")
+    with pytest.raises(Exception, match="(?i)malformed|failed_read_file"):
+        scan_raw(spark, str(tmp_path), ["dim_store"])["dim_store"].collect()
+    good = scan_raw(spark, str(tmp_path), ["dim_store"], skip_malformed=True)["dim_store"]
+    assert sorted(values(good, "store_id", "location")) == [("1", "c"), ("5", "c")]
+    bad = malformed_lines(spark, str(tmp_path), ["dim_store"])
+    assert sorted(values(bad, "line")) == [('2,"x',), ("3,a,b,c,d",), ("4,a",), ('y",b,c',)]
+    assert bad.count() == 4
+
+
+def test_large_and_unreadable_numbers(spark, rules):
+    names = raw_schema("fact_sales").fieldNames()
+    row = dict.fromkeys(names) | {"transaction_id": "T"}
+    lines = [
+        {"quantity": "3000000000", "discount_pct": "123456", "unit_price": "12.345"},
+        {"employee_id": "E-77", "date_id": "someday", "gross_amount": "1e99"},
+        {"employee_id": "12.001", "store_id": "12.0"},
+        {},
+    ]
+    raw = spark.createDataFrame([tuple({**row, **x}.values()) for x in lines], raw_schema("fact_sales"))
+    typed = structuring.structure_table("fact_sales", raw, rules)
+    assert values(typed, "quantity", "discount_pct", "unit_price", "employee_id", "store_id") == [
+        (3000000000, 123456, 12.345, None, None),
+        (None, None, None, None, None),
+        (None, None, None, None, 12),
+        (None, None, None, None, None),
+    ]
+    assert values(typed, "refused_values", "unreadable_values") == [
+        (None, None),
+        ("employee_id=E-77; gross_amount=1e99", "date_id=someday"),
+        ("employee_id=12.001", None),
+        (None, None),
+    ]
+
+
 def test_headcount_may_be_absent(spark, tmp_path, rules):
     write_text(tmp_path / "fact_opex.csv", "opex_id,month,expense_type,amount,store_id",
                "1,Apr-18,Rent,5,1")
@@ -152,8 +189,11 @@ def test_every_raw_table_can_be_structured(spark, rules):
     for name in RAW_TABLES:
         raw = spark.createDataFrame([], raw_schema(name))
         typed = structuring.structure_table(name, raw, rules)
-        assert typed.columns == raw.columns
+        assert typed.columns == [*raw.columns, "refused_values", "unreadable_values"]
         for f in typed.schema.fields:
-            if f.name != "product_id" and "decimal" not in f.dataType.simpleString():
-                declared = STAR[name][f.name].dataType
-                assert f.dataType == declared or f.name == "quantity_ordered"
+            if f.name in STAR[name].names and f.name != "product_id":
+                declared = STAR[name][f.name].dataType.simpleString()
+                wide = {"int": "bigint"}.get(declared, declared)
+                if "decimal" in declared or f.name == "quantity_ordered":
+                    wide = "decimal(18,4)"
+                assert f.dataType.simpleString() == wide
