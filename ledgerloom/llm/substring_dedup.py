@@ -6,8 +6,9 @@ with the same anchor form one segment. Segments whose anchor no other segment ha
 go no further. A shard's segments are streamed through a suffix automaton of those before them:
 where the matching statistic reaches WINDOW, the window and its first occurrence are repeated.
 
-An anchor of very many segments (a passage that a third of all documents share) is split into
-chunks with an automaton each. The distinct windows of the chunks are compared by their hashes.
+Equal segments (the inside of a passage that many documents share) are one segment of their shard,
+repeated as a whole. An anchor of very many different segments is split into chunks with an
+automaton each; the distinct windows of the chunks are compared by their hashes.
 
 Texts that are equal as a whole are one reference text; all its windows are repeated. Null and
 empty texts have no words. Repeated rows count as copies. Other columns stay as they are. Word
@@ -16,6 +17,7 @@ sequences are compared by 64-bit hashes of words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.store import likely, map_arrow, slices, text_key, written
-from ledgerloom.llm.words import Words, mix, shingles
+from ledgerloom.llm.words import Words, shingles
 
 WINDOW = 35
-ANCHOR = 8
-CHUNK = 2048  # segments whose automaton a task builds at once
+ANCHOR = 16
+CHUNK = 2048  # different segments whose automaton a task builds at once
 _KEY, _SPANS = "__text_key", "__spans"
 
 
@@ -146,39 +148,43 @@ def _runs(hits: np.ndarray) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
-_HITS = "tid long, first int, last int, window_hash long"
+_HITS = "content binary, first int, last int, window_hash long"
 
 
 def _stream(shards: DataFrame, window: int) -> DataFrame:
-    """Repeated runs of windows (tid, first, last) of sorted segments. For comparison with the
-    other chunks of its anchor, each window of a chunk also comes with its hash: one that is not
-    repeated there in its place, of those that are one each, without a place."""
+    """Repeated runs of windows (content, first, last) of sorted segments that occur once. For
+    comparison with the other chunks of its anchor, each window of a chunk also comes with its
+    hash: one that is not known to be repeated in its place, of all others one, without a place."""
 
-    def found(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(r["words"], np.uint64) for r in rows]
-        tid, first, last, hashes = [], [], [], []
+    def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        held = [np.frombuffer(words, np.uint64) for _, words, _, _ in rows]
+        content, first, last, hashes = [], [], [], []
         known: set[int] = set()
-        for r, words, hits in zip(rows, held, repeated(held, window), strict=True):
-            for a, b in _runs(hits).tolist():
-                tid.append(r["tid"])
-                first.append(r["start"] + a)
-                last.append(r["start"] + b)
-                hashes.append(None)
-            if r["chunked"]:
+        for (key, _, several, chunked), words, hits in zip(
+            rows, held, repeated(held, window), strict=True
+        ):
+            if not several:
+                for x, y in _runs(hits).tolist():
+                    content.append(key)
+                    first.append(x)
+                    last.append(y)
+                    hashes.append(None)
+            if chunked:
                 sums = shingles(words, window).view(np.int64)
+                hits = hits | several
                 known.update(sums[hits].tolist())
-                for a in np.flatnonzero(~hits).tolist():
-                    tid.append(r["tid"])
-                    first.append(r["start"] + a)
-                    last.append(r["start"] + a + 1)
-                    hashes.append(int(sums[a]))
-        for name in (tid, first, last):
+                for x in np.flatnonzero(~hits).tolist():
+                    content.append(key)
+                    first.append(x)
+                    last.append(x + 1)
+                    hashes.append(int(sums[x]))
+        for name in (content, first, last):
             name.extend([None] * len(known))
         hashes.extend(known)
-        if tid:
+        if hashes:
             yield pa.RecordBatch.from_pydict(
                 {
-                    "tid": pa.array(tid, pa.int64()),
+                    "content": pa.array(content, pa.binary()),
                     "first": pa.array(first, pa.int32()),
                     "last": pa.array(last, pa.int32()),
                     "window_hash": pa.array(hashes, pa.int64()),
@@ -186,16 +192,18 @@ def _stream(shards: DataFrame, window: int) -> DataFrame:
             )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[dict] = []
+        rows: list[tuple] = []
+        now = None
+        columns = ("anchor", "chunk", "content", "words", "several", "chunked")
         for batch in batches:
             for part in slices(batch, "words", 1 << 20):
-                for row in part.to_pylist():
-                    if rows and (row["anchor"], row["chunk"]) != (rows[0]["anchor"], rows[0]["chunk"]):
-                        yield from found(rows)
-                        rows = []
-                    # The same document may be given twice; its segments are one.
-                    if not rows or (row["tid"], row["start"]) != (rows[-1]["tid"], rows[-1]["start"]):
-                        rows.append(row)
+                listed = (part.column(c).to_pylist() for c in columns)
+                for anchor, chunk, *row in zip(*listed, strict=True):
+                    if (anchor, chunk) != now:
+                        if rows:
+                            yield from found(rows)
+                        rows, now = [], (anchor, chunk)
+                    rows.append(tuple(row))
         if rows:
             yield from found(rows)
 
@@ -203,34 +211,72 @@ def _stream(shards: DataFrame, window: int) -> DataFrame:
 
 
 def _sequences(held: DataFrame, window: int) -> DataFrame:
-    """The words of the segments that may repeat, by shard."""
+    """The segments that may repeat, with a digest of their words; the words themselves come with
+    the first of equal segments of a slice, so that those that many texts share travel once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"))
                 out: dict[str, list] = {c.split()[0]: [] for c in schema.split(", ")}
+                seen: set[bytes] = set()
                 tids = part.column("tid").to_pylist()
                 for i, listed in enumerate(part.column("held").to_pylist()):
                     own = words.of(i)
                     for s in listed:
-                        n_chunks = -(-s["n"] // CHUNK)
+                        span = own[s["start"] : s["start"] + s["count"] + window - 1].tobytes()
+                        key = hashlib.blake2b(span, digest_size=16).digest()
                         out["anchor"].append(s["anchor"])
-                        out["chunk"].append(int(mix(np.array([tids[i]], np.uint64))[0]) % n_chunks)
+                        out["content"].append(key)
                         out["tid"].append(tids[i])
                         out["start"].append(s["start"])
-                        out["chunked"].append(n_chunks > 1)
-                        span = own[s["start"] : s["start"] + s["count"] + window - 1]
-                        out["words"].append(span.tobytes())
-                types = {"words": pa.binary(), "chunked": pa.bool_(), "start": pa.int32(), "chunk": pa.int32()}
+                        out["words"].append(None if key in seen else span)
+                        seen.add(key)
+                types = {"words": pa.binary(), "content": pa.binary(), "start": pa.int32()}
                 yield pa.RecordBatch.from_pydict(
                     {k: pa.array(v, types.get(k, pa.int64())) for k, v in out.items()}
                 )
 
-    schema = "anchor long, chunk int, tid long, start int, chunked boolean, words binary"
+    schema = "anchor long, content binary, tid long, start int, words binary"
     return map_arrow(held.select("tid", "text", "held"), work, schema)
 
 
+def _repeated_runs(found: DataFrame, window: int) -> DataFrame:
+    """content and the runs of its windows that are repeated, of all segments in `found`."""
+    place = F.struct("tid", "start")
+    contents = written(
+        found.groupBy("anchor", "content").agg(
+            F.first("words", ignorenulls=True).alias("words"),
+            # The same document may be given twice; its segments are one.
+            (F.min(place) != F.max(place)).alias("several"),
+        ),
+        "segment-contents",
+    )
+    others = contents.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
+    shards = (
+        contents.join(others, "anchor")
+        .withColumn("chunk", F.expr(f"pmod(xxhash64(content), ceil(m / {CHUNK}))"))
+        .withColumn("chunked", F.col("m") > CHUNK)
+        .drop("m")
+        .repartition("anchor", "chunk")
+        .sortWithinPartitions("anchor", "chunk", "content")
+    )
+    hits = written(_stream(shards, window), "repeated-windows")
+    open_ = hits.where("window_hash is not null")
+    across = open_.groupBy("window_hash").agg(F.count("*").alias("n")).where("n > 1")
+    open_ = open_.where("content is not null").join(across, "window_hash")
+    runs = hits.where("window_hash is null").drop("window_hash")
+    runs = runs.unionByName(open_.select("content", "first", "last"))
+    # A segment that occurs twice is repeated as a whole.
+    whole = contents.where("several").select(
+        "content",
+        F.lit(0).alias("first"),
+        F.expr(f"cast(octet_length(words) div 8 - {window - 1} as int)").alias("last"),
+    )
+    runs = runs.unionByName(whole)
+    return runs.groupBy("content").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+
+
 def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """For each text with repeated windows: its `key`, and `spans`, the ranges of windows
     (first, last + 1) that are repeated."""
@@ -259,7 +305,7 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
         runs.join(shared, "anchor")
         .groupBy("tid")
         # At most as many as the text has segments.
-        .agg(F.collect_list(F.struct("anchor", "start", "count", "n")).alias("held"))
+        .agg(F.collect_list(F.struct("anchor", "start", "count")).alias("held"))
     )
     held = texts.select("tid", F.col("key").alias("text_key"), F.col("doc_id").alias("rep"))
     held = written(held.join(wanted, "tid"), "wanted-segments")
@@ -267,17 +313,13 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
     same = (F.col("key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     candidates = likely(docs, "key", held.select("text_key")).join(held, same)
     candidates = candidates.select("tid", "text", "held")
-    shards = (
-        _sequences(candidates, window)
-        .repartition("anchor", "chunk")
-        .sortWithinPartitions("anchor", "chunk", "tid", "start")
+    found = written(_sequences(candidates, window), "candidate-segments")
+    runs = found.select("content", "tid", "start").join(_repeated_runs(found, window), "content")
+    hits = runs.select("tid", "start", F.explode("runs").alias("run")).select(
+        "tid",
+        (F.col("start") + F.col("run.first")).alias("first"),
+        (F.col("start") + F.col("run.last")).alias("last"),
     )
-    hits = written(_stream(shards, window), "repeated-windows")
-    open_ = hits.where("window_hash is not null")
-    across = open_.groupBy("window_hash").agg(F.count("*").alias("n")).where("n > 1")
-    hits = hits.where("window_hash is null").drop("window_hash")
-    open_ = open_.where("tid is not null").join(across, "window_hash")
-    hits = hits.unionByName(open_.select("tid", "first", "last"))
     found = hits.groupBy("tid").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     whole = F.when(
         F.col("copies") > 1,
