@@ -47,6 +47,5 @@ def registered() -> dict[str, Query]:
 def statements() -> dict[str, str]:
     return {
         "op2_topk_maxscore": topk.OP2_SQL,
-        "op3_ngram_jaccard_join": _over("documents", jaccard_join.op3),
         "op5_exact_dedup": exact_dedup.OP5_SQL,
     }
