@@ -1,18 +1,20 @@
 """Toxicity by the nearest labelled examples, with their votes as evidence.
 
-Features are words and beginnings of words (runs of letters in lower case) that are more frequent in
-toxic examples than chance would have it. A text is its TF-IDF vector over them, scaled to length
-one; document frequencies are counted over all documents. The nearest examples by cosine come from
-a block-max inverted index: examples lie in blocks, an upper bound per feature and block is kept,
-blocks are visited by descending bound of the whole query, and the search ends, exactly, where no
-block can hold a nearer example.
+Features are all words and beginnings of words (runs of letters in lower case) that the labelled
+examples hold. A text is its TF-IDF vector over them, scaled to length one; document frequencies are
+counted over all documents, and a feature that is more frequent in toxic examples than chance would
+have it weighs more, by its log-likelihood ratio. The nearest examples by cosine come from a
+block-max inverted index of all examples: they lie in blocks, an upper bound per feature and block
+is kept, the blocks of highest bound of the whole query are visited first, and then, exactly, all
+blocks that can hold a nearer example.
 
 Neighbours vote with a power of their similarity, times the weight of their class (the examples are
-a sample by class, the weights undo it), against a prior vote for the rate among texts without any
-feature, so a score reads as a chance. A text without features gets that rate.
+a sample by class, the weights undo it), against a prior vote for the rate of toxic examples, so a
+score reads as a chance. A text without features gets the rate among the examples without any, or
+the rate of all where there is no such example.
 
 The examples are the bound of the model: EXAMPLES of each class at most, those of least hash of the
-id. Everything else is over all rows. Null texts are read as empty. Labels that are null are left
+id. Everything else is over all rows. Words that no example holds count for nothing. Null texts are read as empty. Labels that are null are left
 out; if a document has several, one toxic label makes it toxic. Without labels, or without a toxic
 one, there are no features and the score is the rate there is (0 without labels). Documents of equal
 text get the same score, repeated rows too. Other columns are not read by a score.
@@ -35,9 +37,10 @@ from pyspark.sql import types as T
 from ledgerloom.llm.store import map_arrow, slices
 
 EXAMPLES = 5000  # of each class
-FEATURES = 4096
 BEGINNINGS = (4, 5, 6)  # letters of the beginnings of words
-EVIDENCE = 25.0  # least log-likelihood ratio of a feature
+EVIDENCE = 25.0  # the log-likelihood ratio that doubles the weight of a feature
+MEMO = 1 << 18  # words whose features a worker remembers
+SEED = 4  # blocks that are visited before the others are judged
 NEIGHBOURS = 16
 BLOCK = 64
 POWER = 2  # of the similarity in a vote
@@ -57,100 +60,165 @@ def features(text: str) -> Counter[str]:
     return found
 
 
-def known_features(text: str, known: dict[str, int], heads: dict[int, set[str]]) -> dict[int, int]:
-    """As features(), but only those that are known, by number."""
-    words = Counter(_LETTERS.findall(text.lower()))
-    found: dict[int, int] = {}
-    for word in words.keys() & known.keys():
-        found[known[word]] = words[word]
-    for n, held in heads.items():
-        for word, count in words.items():
-            if word[:n] in held and len(word) > n:
-                i = known[word[:n] + "*"]
-                found[i] = found.get(i, 0) + count
-    return found
+class Vocabulary:
+    """The features of the examples, by number."""
+
+    def __init__(self, names: list[str]):
+        self.names = names
+        self.known: dict[str, int] = {}  # made where it is used, in the workers
+        self.memo: dict[str, tuple[int, ...]] = {}
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def __reduce__(self):
+        return Vocabulary, (self.names,)
+
+    def _of(self, word: str) -> tuple[int, ...]:
+        if not self.known:
+            self.known.update((name, i) for i, name in enumerate(self.names))
+        held = [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+        found = tuple(self.known[x] for x in held if x in self.known)
+        if len(self.memo) >= MEMO:
+            self.memo.clear()
+        self.memo[word] = found
+        return found
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """As features(), but only those that are known: their numbers, ascending, and counts."""
+        words = Counter(_LETTERS.findall(text.lower()))
+        numbers: list[int] = []
+        sizes = np.zeros(len(words), np.int64)
+        for i, word in enumerate(words):
+            held = self.memo.get(word)
+            if held is None:
+                held = self._of(word)
+            numbers.extend(held)
+            sizes[i] = len(held)
+        each = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
+        found, at = np.unique(np.array(numbers, np.int32), return_inverse=True)
+        return found, np.bincount(at, each, len(found)).astype(np.int32)
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers of all the ranges, one after the other."""
+    sizes = last - first
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + sizes, sizes)
 
 
 @dataclasses.dataclass
 class Index:
-    """Examples in blocks of BLOCK: postings per feature, and the largest weight per block."""
+    """Examples in blocks of BLOCK. Postings are ordered by feature and place; those of one feature
+    in one block are a run, with the largest weight as its bound."""
 
     ids: np.ndarray
     toxic: np.ndarray
-    places: list[np.ndarray]  # of each feature, ascending
-    weights: list[np.ndarray]
-    bounds: np.ndarray  # feature x block
+    runs: np.ndarray  # first run of each feature
+    block: np.ndarray  # of each run
+    bounds: np.ndarray  # of each run
+    posts: np.ndarray  # first posting of each run
+    places: np.ndarray
+    weights: np.ndarray
 
     @classmethod
     def build(cls, ids, toxic, vectors: list[dict[int, float]], n_features: int) -> Index:
-        places: list[list[int]] = [[] for _ in range(n_features)]
-        weights: list[list[float]] = [[] for _ in range(n_features)]
-        bounds = np.zeros((n_features, max(1, -(-len(ids) // BLOCK))), np.float32)
-        for place, vector in enumerate(vectors):
-            for f, w in vector.items():
-                places[f].append(place)
-                weights[f].append(w)
-                # Rounded up, so that a bound in single precision stays one.
-                bound = np.nextafter(np.float32(w), np.float32(2))
-                bounds[f, place // BLOCK] = max(bounds[f, place // BLOCK], bound)
-        return cls(np.array(ids, np.int64), np.array(toxic, np.int64),
-                   [np.array(p, np.int64) for p in places],
-                   [np.array(w) for w in weights], bounds)
+        sizes = [len(v) for v in vectors]
+        features = np.array([f for v in vectors for f in v], np.int32)
+        weights = np.array([w for v in vectors for w in v.values()], np.float64)
+        return cls.of(ids, toxic, sizes, features, weights, n_features)
+
+    @classmethod
+    def of(cls, ids, toxic, sizes, features, weights, n_features: int) -> Index:
+        """From the vectors one after the other, with their sizes."""
+        places = np.repeat(np.arange(len(sizes), dtype=np.int32), np.array(sizes, np.int64))
+        order = np.argsort(features, kind="stable")
+        # One after the other: of millions of postings no copies are held longer than needed.
+        features = features[order]
+        places = places[order]
+        weights = weights[order]
+        del order
+        block = places // BLOCK
+        new = np.ones(len(places), bool)
+        new[1:] = (features[1:] != features[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        # Rounded up, so that a bound in single precision stays one.
+        most = np.maximum.reduceat(weights, first) if len(first) else weights
+        bounds = np.nextafter(most.astype(np.float32), np.float32(2))
+        runs = np.searchsorted(features[first], np.arange(n_features + 1))
+        return cls(np.array(ids, np.int64), np.array(toxic, np.int64), runs, block[first], bounds,
+                   np.append(first, len(places)), places, weights)
 
     def nearest(self, query: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples that share a feature; the earlier place
         wins a tie."""
-        terms = list(query.items())
-        bound = sum(w * self.bounds[f].astype(np.float64) for f, w in terms)
-        order = np.argsort(-bound, kind="stable")
-        found, cosines = np.zeros(0, np.int64), np.zeros(0)
-        step, at = 4, 0
-        while at < len(order):
-            blocks = order[at : at + step]
-            if bound[blocks[0]] <= 0 or (
-                len(found) == k and bound[blocks[0]] < cosines[-1] - 1e-9
-            ):
-                break
-            sums: dict[int, float] = {}
-            for f, w in terms:
-                places, weights = self.places[f], self.weights[f]
-                first = np.searchsorted(places, blocks * BLOCK)
-                last = np.searchsorted(places, (blocks + 1) * BLOCK)
-                for a, b in zip(first.tolist(), last.tolist(), strict=True):
-                    for p, v in zip(places[a:b].tolist(), weights[a:b].tolist(), strict=True):
-                        sums[p] = sums.get(p, 0.0) + w * v
-            found = np.append(found, np.fromiter(sums, np.int64, len(sums)))
-            cosines = np.append(cosines, np.fromiter(sums.values(), float, len(sums)))
-            best = np.lexsort((found, -cosines.round(12)))[:k]
-            found, cosines = found[best], cosines[best]
-            at += step
-            step *= 2
-        return found, cosines
+        features = np.fromiter(query, np.int64, len(query))
+        return self.search(features, np.fromiter(query.values(), np.float64, len(query)), k)
+
+    def search(self, features: np.ndarray, weights: np.ndarray, k: int):
+        """As nearest(), of a query in two arrays."""
+        first, last = self.runs[features], self.runs[features + 1]
+        runs = _ranges(first, last)
+        weight = np.repeat(weights, last - first)
+        block = self.block[runs]
+        n_blocks = -(-len(self.ids) // BLOCK)
+        bound = np.bincount(block, weight * self.bounds[runs], n_blocks)
+        chosen = np.zeros(n_blocks, bool)
+        chosen[np.argsort(-bound, kind="stable")[:SEED]] = True
+        held = chosen[block]
+        found, cosines = self._best(runs[held], weight[held], k)
+        if len(found) == k:
+            chosen |= bound >= cosines[-1] - 1e-9
+        else:
+            chosen |= bound > 0
+        if chosen.sum() * 2 > n_blocks:  # nearly all: run by run would cost more
+            return self._top(*self._all(features, weights), k)
+        held = chosen[block]
+        return self._best(runs[held], weight[held], k)
+
+    def _best(self, runs: np.ndarray, weight: np.ndarray, k: int):
+        first, last = self.posts[runs], self.posts[runs + 1]
+        at = _ranges(first, last)
+        return self._top(self.places[at], np.repeat(weight, last - first) * self.weights[at], k)
+
+    def _all(self, features: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = self.posts[self.runs[features]]
+        last = self.posts[self.runs[features + 1]]
+        ranges = list(zip(first.tolist(), last.tolist(), strict=True))
+        places = np.concatenate([self.places[a:b] for a, b in ranges])
+        products = np.concatenate([self.weights[a:b] for a, b in ranges])
+        products *= np.repeat(weights, last - first)
+        return places, products
+
+    def _top(self, places: np.ndarray, products: np.ndarray, k: int):
+        sums = np.bincount(places, products, len(self.ids)).round(12)
+        found = np.flatnonzero(sums > 0)
+        if len(found) > k:
+            least = np.partition(sums[found], len(found) - k)[len(found) - k]
+            found = found[sums[found] >= least]
+        best = found[np.lexsort((found, -sums[found]))[:k]]
+        return best, sums[best]
 
 
 @dataclasses.dataclass
 class Model:
-    names: list[str]
-    idf: np.ndarray
+    vocabulary: Vocabulary
+    weight: np.ndarray  # of each feature
     index: Index
     class_weight: tuple[float, float]
-    base: float  # the rate of toxic texts among those without a feature
-
-    def __post_init__(self):
-        self.known = {name: i for i, name in enumerate(self.names)}
-        self.heads = _heads(self.names)
+    base: float  # the rate of toxic texts
+    bare: float  # and among those without a feature
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {f: (1 + math.log(n)) * self.idf[f] for f, n in sorted(counts.items())}
-        norm = math.sqrt(sum(w * w for w in raw.values()))
-        return {f: w / norm for f, w in raw.items()} if norm else {}
+    def vector(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        raw = (1 + np.log(counts)) * self.weight[features]
+        return raw / math.sqrt(float(raw @ raw)) if len(raw) else raw
 
     def score(self, text: str) -> tuple[float, list[tuple[int, float, int]]]:
         """The score, and id, similarity and label of the neighbours it comes from."""
-        query = self.vector(known_features(text, self.known, self.heads))
-        if not query:
-            return self.base, []
-        places, cosines = self.index.nearest(query, NEIGHBOURS)
+        features, counts = self.vocabulary.counts(text)
+        if not len(features):
+            return self.bare, []
+        places, cosines = self.index.search(features, self.vector(features, counts), NEIGHBOURS)
         toxic = self.index.toxic[places]
         votes = np.maximum(cosines, 0) ** POWER * np.array(self.class_weight)[toxic]
         score = (float(votes @ toxic) + PRIOR_VOTE * self.base) / (float(votes.sum()) + PRIOR_VOTE)
@@ -158,10 +226,6 @@ class Model:
         return score, list(zip(ids, cosines.tolist(), toxic.tolist(), strict=True))
 
 
-def _heads(names: list[str]) -> dict[int, set[str]]:
-    return {n: {x[:-1] for x in names if x.endswith("*") and len(x) == n + 1} for n in BEGINNINGS}
-
-
 def examples(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame, dict[int, int]]:
     """Up to `limit` labelled documents of each class (doc_id, text, toxic), and how many documents
     of each class there are."""
@@ -177,8 +241,9 @@ def examples(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame,
     return docs.select("doc_id", "text").join(chosen, "doc_id"), totals
 
 
-def _selected(held: DataFrame, limit: int, least: float) -> list[str]:
-    """The features that speak for toxic examples most, by log-likelihood ratio."""
+def _selected(held: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The features of the examples, and the log-likelihood ratio of those that speak for toxic
+    ones, 0 of the others."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
@@ -196,7 +261,7 @@ def _selected(held: DataFrame, limit: int, least: float) -> list[str]:
 
     sizes = {r["toxic"]: float(r["count"]) for r in held.groupBy("toxic").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
-        return []
+        return [], np.zeros(0)
     n1, n0 = sizes[1], sizes[0]
     counted = (
         map_arrow(held.select("text", "toxic"), work, "feature string, toxic int, n long")
@@ -205,91 +270,100 @@ def _selected(held: DataFrame, limit: int, least: float) -> list[str]:
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
             F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"),
         )
-        .where(f"a / {n1}D > b / {n0}D")
+        .toArrow()  # at most the words of 2 * limit documents
+        .sort_by("feature")
     )
+    a, b = (counted.column(c).to_numpy().astype(float) for c in ("a", "b"))
+    total = n1 + n0
 
-    def part(n: str, expected: str) -> str:
-        return f"if({n} > 0, {n} * ln({n} / ({expected})), 0D)"
+    def part(n: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        held = n > 0
+        return np.where(held, n * np.log(np.where(held, n, 1) / np.where(held, expected, 1)), 0.0)
 
-    total = n1 + n0
-    ratio = " + ".join(
-        [
-            part("a", f"(a + b) * {n1 / total}D"),
-            part("b", f"(a + b) * {n0 / total}D"),
-            part(f"({n1}D - a)", f"({total}D - a - b) * {n1 / total}D"),
-            part(f"({n0}D - b)", f"({total}D - a - b) * {n0 / total}D"),
-        ]
+    ratio = 2 * (
+        part(a, (a + b) * n1 / total)
+        + part(b, (a + b) * n0 / total)
+        + part(n1 - a, (total - a - b) * n1 / total)
+        + part(n0 - b, (total - a - b) * n0 / total)
     )
-    chosen = counted.withColumn("ratio", F.expr(f"2 * ({ratio})")).where(F.col("ratio") >= least)
-    rows = chosen.orderBy(F.desc(F.round("ratio", 6)), "feature").limit(limit).select("feature")
-    return [r[0] for r in rows.collect()]
+    ratio = np.where(a / n1 > b / n0, np.maximum(ratio, 0), 0)
+    return counted.column("feature").to_pylist(), ratio
 
 
-def _document_frequencies(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, int]:
+def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
     """Documents that have each feature, and documents, over all of them."""
-    heads = _heads(names)
-    known = {name: i for i, name in enumerate(names)}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(len(known), np.int64), 0
+        counts, n = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             for part in slices(batch, "text"):
                 for text in part.column("text").to_pylist():
                     n += 1
-                    for f in known_features(text or "", known, heads):
-                        counts[f] += 1
+                    counts[vocabulary.counts(text or "")[0]] += 1
+        held = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict(
             {
-                "feature": pa.array([-1, *range(len(counts))], pa.int32()),
-                "n": pa.array([n, *counts.tolist()], pa.int64()),
+                "feature": pa.array(np.append(-1, held), pa.int32()),
+                "n": pa.array(np.append(n, counts[held]), pa.int64()),
             }
         )
 
-    found = np.zeros(len(names) + 1, np.int64)
+    found = np.zeros(len(vocabulary) + 1, np.int64)
     counted = map_arrow(docs.select("text"), work, "feature int, n long")
-    for row in counted.groupBy("feature").agg(F.sum("n").alias("n")).collect():
-        found[row["feature"]] = row["n"]
+    rows = counted.groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    found[rows.column("feature").to_numpy()] = rows.column("n").to_numpy()
     return found[:-1], int(found[-1])
 
 
 def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Model:
     """A model from labelled documents; `labels` has doc_id and toxic (0 or 1)."""
     held, totals = examples(docs, labels, limit)
-    names = _selected(held, FEATURES, EVIDENCE)
-    frequency, n = _document_frequencies(docs, names)
-    idf = np.log((1 + n) / (1 + frequency)) + 1
-    known, heads = {name: i for i, name in enumerate(names)}, _heads(names)
+    names, ratio = _selected(held)
+    vocabulary = Vocabulary(names)
+    frequency, n = _document_frequencies(docs, vocabulary)
+    weights = (np.log((1 + n) / (1 + frequency)) + 1) * (1 + ratio / EVIDENCE)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [known_features(t or "", known, heads) for t in batch.column("text").to_pylist()]
+            counts = [vocabulary.counts(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id").cast(pa.int64()),
                     "toxic": batch.column("toxic"),
-                    "features": pa.array([list(c) for c in counts], pa.list_(pa.int32())),
-                    "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())),
+                    "features": pa.array([f.tobytes() for f, _ in counts], pa.binary()),
+                    "counts": pa.array([c.tobytes() for _, c in counts], pa.binary()),
                 }
             )
 
-    schema = "doc_id long, toxic int, features array<int>, counts array<int>"
+    schema = "doc_id long, toxic int, features binary, counts binary"
     rows = map_arrow(held, work, schema).distinct().collect()  # at most 2 * limit documents
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["features"], r["counts"]))
     sampled = Counter(r["toxic"] for r in rows)
-    weight = tuple(totals.get(c, 0) / sampled[c] if sampled[c] else 0.0 for c in (0, 1))
-    bare = Counter(r["toxic"] for r in rows if not r["features"])
-    mass = [bare[c] * weight[c] for c in (0, 1)]
-    base = mass[1] / sum(mass) if sum(mass) else 0.0
+    class_weight = tuple(totals.get(c, 0) / sampled[c] if sampled[c] else 0.0 for c in (0, 1))
+
+    def rate(of: Counter) -> float:
+        mass = [of[c] * class_weight[c] for c in (0, 1)]
+        return mass[1] / sum(mass) if sum(mass) else 0.0
+
+    base = rate(sampled)
+    empty = Counter(r["toxic"] for r in rows if not r["features"])
     rows = [r for r in rows if r["features"]]
     blank = Index.build([], [], [], len(names))
-    model = Model(names, idf, blank, weight, base)
-    vectors = [model.vector(dict(zip(r["features"], r["counts"], strict=True))) for r in rows]
+    model = Model(vocabulary, weights, blank, class_weight, base, rate(empty) if empty else base)
+    numbers = [np.frombuffer(r["features"], np.int32) for r in rows]
+    vectors = [
+        model.vector(f, np.frombuffer(r["counts"], np.int32))
+        for f, r in zip(numbers, rows, strict=True)
+    ]
     # Examples with the same foremost feature lie in the same blocks, so bounds differ by block.
-    order = sorted(range(len(rows)), key=lambda i: (max(vectors[i], key=vectors[i].get), i))
-    model.index = Index.build(
-        [rows[i]["doc_id"] for i in order], [rows[i]["toxic"] for i in order],
-        [vectors[i] for i in order], len(names),
-    )
+    order = sorted(range(len(rows)), key=lambda i: (numbers[i][vectors[i].argmax()], i))
+    if rows:
+        ids, toxic = [rows[i]["doc_id"] for i in order], [rows[i]["toxic"] for i in order]
+        sizes = [len(numbers[i]) for i in order]
+        numbers = np.concatenate([numbers[i] for i in order])
+        del rows
+        vectors = np.concatenate([vectors[i] for i in order])
+        model.index = Index.of(ids, toxic, sizes, numbers, vectors, len(names))
     return model
 
 

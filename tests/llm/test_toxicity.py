@@ -92,3 +92,19 @@ def test_accuracy_on_staged_documents(spark):
     rows = toxicity.op4(docs, labels).join(labels, "doc_id").where("held_out").collect()
     right = np.mean([r["predicted"] == r["toxic"] for r in rows])
     assert len(rows) > 80 and right >= 0.93
+
+
+def test_copies_of_examples_of_rare_words(documents, spark):
+    # No word is in two examples of a class: none of them speaks for toxic examples by itself.
+    rows = [(i, " ".join(f"{a}{b}" for a in ("zu", "ke", "ro") for b in _letters(i))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    docs = documents(rows + [(100 + i, t) for i, t in rows])
+    got = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
+    for i, _ in rows:
+        nearest = got[100 + i]["evidence"][0]
+        assert nearest["doc_id"] == i and nearest["similarity"] > 0.999
+        assert got[100 + i]["predicted"] == int(i % 3 == 0)
+
+
+def _letters(i):
+    return [chr(97 + i // 26 % 26) + chr(97 + i % 26) + x for x in "qxj"]
