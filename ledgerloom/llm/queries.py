@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
+    alignment,
     bpe,
+    divergence,
     exact_dedup,
     jaccard_join,
     line_dedup,
     packing,
+    retrieval_packing,
     substring_dedup,
     token_counts,
     token_files,
@@ -41,6 +44,9 @@ def registered() -> dict[str, Query]:
         "op8_line_dedup": _over("documents", line_dedup.op8),
         "op9_token_files": _over("documents", token_files.op9),
         "op10_substring_dedup": _over("documents", substring_dedup.op10),
+        "op11_token_alignment": _over("documents", alignment.op11),
+        "op12_retrieval_packing": _over("documents", retrieval_packing.op12),
+        "op13_source_divergence": _over("documents", divergence.op13),
     }
 
 
@@ -48,4 +54,5 @@ def statements() -> dict[str, str]:
     return {
         "op2_topk_maxscore": topk.OP2_SQL,
         "op5_exact_dedup": exact_dedup.OP5_SQL,
+        "op13_source_divergence": divergence.OP13_SQL,
     }
