@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import byte_ids
 from ledgerloom.llm.store import map_arrow, slices, written
-from ledgerloom.llm.word_bpe import byte_alphabet
 
 PIECES = "piece_bpe_32k.model"
 BLOCK_BYTES = 32 * 1024 * 1024  # of text in a block
@@ -48,12 +47,8 @@ class Tokens:
     def __init__(self, path_a: str, path_b: str):
         self.a = byte_ids.loaded(path_a, plain=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        letters = {c: b for b, c in byte_alphabet().items()}
-        n_a, n_b = self.a.tokenizer.get_vocab_size(), self.b.get_piece_size()
-        bytes_a = [
-            bytes(letters[c] for c in x) if x and all(c in letters for c in x) else (x or "").encode()
-            for x in map(self.a.tokenizer.id_to_token, range(n_a))
-        ]
+        n_a, n_b = self.a.size, self.b.get_piece_size()
+        bytes_a = [self.a.bytes.get(i, b"") for i in range(n_a)]
         bytes_b = [self._piece(i) for i in range(n_b)]
         self.bytes = (bytes_a, bytes_b)
         self.sizes = tuple(np.array([len(x) for x in t], np.int64) for t in self.bytes)
@@ -70,8 +65,7 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text by both; none where the joined bytes are not the text's."""
-        raw = self.a.encode([" " + t for t in texts])
-        ids_a = [np.frombuffer(x, self.a.dtype) for x in raw]
+        ids_a = self.a.encode([" " + t for t in texts])
         ids_b = self.b.encode(texts, num_threads=1)
         none = np.zeros(0, np.int64)
         out: tuple[list, list] = ([], [])

@@ -31,8 +31,8 @@ CELLS = 1 << 15  # leaves of the trees that are merged in step; they stay in the
 # Cuts a text into pieces that no match of public_tokenizers.PATTERN crosses: a run without
 # white space and a space before it, or white space. Most pieces are in the cache, so the
 # pattern itself is only applied to new ones. A caller's own pattern is applied to whole texts.
-_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECES = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+PIECES = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 _NONE = np.iinfo(np.int64).max
 _SHIFT = 32
 
