@@ -149,14 +149,39 @@ def count_raw(spark, sf_dir):
     return raw_row_counts(scan_raw(spark, text_files(spark, sf_dir)))
 
 
-def publish_clean(spark, sf_dir):
+def whole_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row of every table as one text, in the order of its columns; a tilde is missing."""
+    return stacked(
+        df.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns))
+            .alias("row_text"),
+        )
+        for name, df in tables.items()
+    )
+
+
+def scan_tables(spark, sf_dir):
+    return whole_rows(scan_raw(spark, text_files(spark, sf_dir)))
+
+
+def _clean_folder(spark, sf_dir) -> str:
     out = published(spark, sf_dir)
 
     def write(folder: str) -> str:
         pub.publish_clean({name: out.clean(name) for name in RAW_TABLES}, folder)
         return folder
 
-    return spark.read.parquet(_once(spark, sf_dir, "clean", write) + "/fact_sales_clean")
+    return _once(spark, sf_dir, "clean", write)
+
+
+def publish_clean(spark, sf_dir):
+    return spark.read.parquet(_clean_folder(spark, sf_dir) + "/fact_sales_clean")
+
+
+def publish_clean_tables(spark, sf_dir):
+    folder = _clean_folder(spark, sf_dir)
+    return whole_rows({t: spark.read.parquet(f"{folder}/{t}_clean") for t in RAW_TABLES})
 
 
 def publish_quarantine(spark, sf_dir):
@@ -170,22 +195,28 @@ def publish_quarantine(spark, sf_dir):
     return spark.read.parquet(folder + "/quarantined_fact_sales")
 
 
-def load_star(spark, sf_dir):
+def _loaded(spark, sf_dir) -> dict[str, DataFrame]:
     def write(folder: str) -> str:
         star.write_star(published(spark, sf_dir).star(), folder)
         return folder
 
     folder = _once(spark, sf_dir, "star", write)
-    loaded = {t: spark.read.parquet(f"{folder}/{t}") for t in STAR}
+    return {
+        t: spark.read.parquet(f"{folder}/{t}").select(*schema.fieldNames())
+        for t, schema in STAR.items()
+    }
+
+
+def load_star(spark, sf_dir):
     return stacked(
         df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(df.columns[0]).alias("n_keys")).select(
             F.lit(name).alias("tbl"), "n", "n_keys"
         )
-        for name, df in loaded.items()
+        for name, df in _loaded(spark, sf_dir).items()
     )
 
 
-def load_star_text(spark, sf_dir):
+def _loaded_text(spark, sf_dir) -> dict[str, DataFrame]:
     """Publish as text, read the text back, load it under the declared types."""
     out = published(spark, sf_dir)
     clean = {t: t for t in ("dim_date", "fact_sales_quarantine")}
@@ -197,9 +228,13 @@ def load_star_text(spark, sf_dir):
             write_csv(out.clean(t), f"{folder}/{t}.csv")
         return folder
 
-    folder = _once(spark, sf_dir, "text", write)
-    text = {t: pub.read_published(spark, folder, name, "csv") for t, name in names.items()}
-    return star.load_star(text, RULES)["fact_sales"]
+    def load(_: str) -> dict[str, DataFrame]:
+        folder = _once(spark, sf_dir, "text", write)
+        text = {t: pub.read_published(spark, folder, name, "csv") for t, name in names.items()}
+        loaded = star.load_star(text, RULES)
+        return {t: df.select(*STAR[t].fieldNames()) for t, df in loaded.items()}
+
+    return _once(spark, sf_dir, "text plans", load)
 
 
 def _star(spark, sf_dir):
@@ -350,7 +385,11 @@ _QUERIES: dict[str, Query] = {
     "publish_clean": publish_clean,
     "publish_quarantine": publish_quarantine,
     "load_star": load_star,
-    "load_star_text": load_star_text,
+    "load_star_text": lambda spark, sf_dir: _loaded_text(spark, sf_dir)["fact_sales"],
+    "scan_raw_tables": scan_tables,
+    "publish_clean_tables": publish_clean_tables,
+    "load_star_tables": lambda spark, sf_dir: whole_rows(_loaded(spark, sf_dir)),
+    "load_star_text_tables": lambda spark, sf_dir: whole_rows(_loaded_text(spark, sf_dir)),
     "quarantine_reasons": _on_published(lambda out: out.quarantine_reasons()),
     "sentinel_member": sentinel_member,
     "apply_schema": apply_schema,

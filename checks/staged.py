@@ -165,7 +165,8 @@ from quarters
 
 _PRODUCTS = f"""
 select cast(p_partkey as string) as product_id, p_type as category, 'General' as subcategory,
-  p_name as item_name,
+  case when p_partkey % 45 = 7 then concat(p_name, chr(10), '"in two", lines') else p_name end
+    as item_name,
   case when p_partkey % 40 = 1 then ' rcm' else p_brand end as brand_name,
   'Mid' as price_tier, concat('HUB', p_size % 5) as manufacturing_hub,
   'Central' as distribution_hub, cast(p_size as string) as lead_time_days,
@@ -201,7 +202,9 @@ from {supplier}
 _STORES = """
 select cast(r_regionkey + 1 as string) as store_id, r_name as store_name,
   'Shop' as store_type,
-  case when r_regionkey = 4 then repeat('Main Street ', 5) else 'Main Street' end as location
+  case when r_regionkey = 4 then repeat('Main Street ', 5)
+    when r_regionkey = 2 then concat('Gate 2,', chr(10), chr(10), 'near "The Arch"')
+    else 'Main Street' end as location
 from {region}
 """
 

@@ -7,18 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import month_start
+from ..session import materialised as materialised
 from .raw import scan_text, write_csv
 
 CLEAN = "clean"
 QUARANTINE = "quarantine"
 
 
-def materialised(df: DataFrame, path: str) -> DataFrame:
-    """Write a table once and go on from the files, so lost executors cost no rework."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def publish_clean(tables: dict[str, DataFrame], folder: str, form: str = "parquet") -> None:
     for name, df in tables.items():
         _write(df, _named(folder, f"{name}_clean", form), form)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import missing_to_null
 from ..schemas import OPTIONAL, RAW_TABLES, raw_columns
+from .stitched import has_line_breaks, records
 
 _CSV = {
     "header": "true",
@@ -23,56 +24,59 @@ _CSV = {
 _MALFORMED = "_malformed"
 
 
-def _lines(spark: SparkSession, path: str, multiline: bool, mode: str) -> DataFrame:
-    # Lines are only held against the header if all of their fields are read.
-    reader = spark.read.options(
-        **_CSV,
-        enforceSchema="false",
-        multiLine=str(multiline).lower(),
-        mode=mode,
-        columnPruning="false",
-    )
+def _rows(spark: SparkSession, path: str, multiline: bool, mode: str) -> DataFrame:
+    reader = spark.read.options(**_CSV)
     columns = [T.StructField(c, T.StringType()) for c in reader.csv(path).columns]
+    options = {**_CSV, "mode": mode}
     if mode == "PERMISSIVE":
         columns.append(T.StructField(_MALFORMED, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", _MALFORMED)
-    return reader.schema(T.StructType(columns)).csv(path)
+        options["columnNameOfCorruptRecord"] = _MALFORMED
+    schema = T.StructType(columns)
+    if multiline and has_line_breaks(spark, path):
+        declared = ", ".join(f"`{c.name}` string" for c in columns)
+        row = F.from_csv("record", declared, {k: v for k, v in options.items() if k != "header"})
+        # Through a generator, so that each record is read once and with all of its fields.
+        return records(spark, path).select(F.inline(F.array(row)))
+    # Lines are only held against the header if all of their fields are read.
+    options |= {"enforceSchema": "false", "columnPruning": "false"}
+    return reader.options(**options).schema(schema).csv(path)
 
 
-def _malformed(lines: DataFrame) -> Column:
+def _malformed(rows: DataFrame) -> Column:
     """A text that is empty for a good line. Spark refuses to scan nothing but the lines that
     are malformed, so that it also looks at a column, if only rows are counted."""
-    first = F.coalesce(lines.columns[0], F.lit(""))
+    first = F.coalesce(rows.columns[0], F.lit(""))
     return F.coalesce(F.concat(first, F.col(_MALFORMED)), F.lit(""))
 
 
 def scan_text(
-    spark: SparkSession, path: str, multiline: bool = False, skip_malformed: bool = False
+    spark: SparkSession, path: str, multiline: bool = True, skip_malformed: bool = False
 ) -> DataFrame:
     """A text file, or a folder of them, by header; all columns as text.
 
-    Files of a folder whose headers differ are an error, and so is a line with fewer or more
-    fields than the header, such as either half of a quoted line break; to skip such lines,
-    read them with `malformed_lines` as well. Texts with line breaks need `multiline`, which
-    reads each file in one task.
+    Files of a folder whose headers differ are an error, and so is a record with fewer or more
+    fields than the header; to skip such records, read them with `malformed_lines` as well.
+    Quoted texts may hold line breaks: where a first look at the quotes finds any, lines are put
+    together to records (see `stitched`). Without `multiline` that look is spared, and either half
+    of a quoted line break is malformed.
     """
     if not skip_malformed:
-        return missing_to_null(_lines(spark, path, multiline, "FAILFAST"))
-    lines = _lines(spark, path, multiline, "PERMISSIVE")
-    return missing_to_null(lines.where(_malformed(lines) == "").drop(_MALFORMED))
+        return missing_to_null(_rows(spark, path, multiline, "FAILFAST"))
+    rows = _rows(spark, path, multiline, "PERMISSIVE")
+    return missing_to_null(rows.where(_malformed(rows) == "").drop(_MALFORMED))
 
 
 def malformed_lines(
     spark: SparkSession,
     folder: str,
     tables: Iterable[str] = RAW_TABLES,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
-    """table_name and line of all lines that `skip_malformed` leaves out."""
+    """table_name and line of all records that `skip_malformed` leaves out."""
     parts = []
     for table in tables:
-        lines = _lines(spark, f"{folder}/{table}.csv", multiline, "PERMISSIVE")
-        found = lines.where(_malformed(lines) != "")
+        rows = _rows(spark, f"{folder}/{table}.csv", multiline, "PERMISSIVE")
+        found = rows.where(_malformed(rows) != "")
         parts.append(found.select(F.lit(table).alias("table_name"), F.col(_MALFORMED).alias("line")))
     return stacked(parts)
 
@@ -81,7 +85,7 @@ def scan_raw(
     spark: SparkSession,
     folder: str,
     tables: Iterable[str] = RAW_TABLES,
-    multiline: bool = False,
+    multiline: bool = True,
     skip_malformed: bool = False,
 ) -> dict[str, DataFrame]:
     """Read `<folder>/<table>.csv` for every table; columns may stand in any order."""

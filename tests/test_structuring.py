@@ -58,20 +58,26 @@ def test_scan_refuses_files_that_differ(spark, tmp_path):
 def test_scan_of_texts_with_line_breaks(spark, tmp_path):
     write_text(tmp_path / "dim_store.csv", "store_id,store_name,store_type,location",
                '1,"a', 'b",c,d')
-    df = scan_raw(spark, str(tmp_path), ["dim_store"], multiline=True)["dim_store"]
+    df = scan_raw(spark, str(tmp_path), ["dim_store"])["dim_store"]
     assert values(df, "store_name", "location") == [("a\nb", "d")]
 
 
 def test_malformed_lines_are_an_error_or_told(spark, tmp_path):
     write_text(tmp_path / "dim_store.csv", "store_id,store_name,store_type,location",
                "1,a,b,c", '2,"x', 'y",b,c', "3,a,b,c,d", "4,a", "5,a,,c")
-    with pytest.raises(Exception, match="(?i)malformed|failed_read_file"):
-        scan_raw(spark, str(tmp_path), ["dim_store"])["dim_store"].collect()
-    good = scan_raw(spark, str(tmp_path), ["dim_store"], skip_malformed=True)["dim_store"]
-    assert sorted(values(good, "store_id", "location")) == [("1", "c"), ("5", "c")]
-    bad = malformed_lines(spark, str(tmp_path), ["dim_store"])
-    assert sorted(values(bad, "line")) == [('2,"x',), ("3,a,b,c,d",), ("4,a",), ('y",b,c',)]
-    assert bad.count() == 4
+    cases = (
+        (False, [("1", "c"), ("5", "c")], [('2,"x',), ("3,a,b,c,d",), ("4,a",), ('y",b,c',)]),
+        (True, [("1", "c"), ("2", "c"), ("5", "c")], [("3,a,b,c,d",), ("4,a",)]),
+    )
+    for multiline, good, bad in cases:
+        options = {"tables": ["dim_store"], "multiline": multiline}
+        with pytest.raises(Exception, match="(?i)malformed|failed_read_file"):
+            scan_raw(spark, str(tmp_path), **options)["dim_store"].collect()
+        df = scan_raw(spark, str(tmp_path), **options, skip_malformed=True)["dim_store"]
+        assert sorted(values(df, "store_id", "location")) == good
+        lines = malformed_lines(spark, str(tmp_path), **options)
+        assert sorted(values(lines, "line")) == bad
+        assert lines.count() == len(bad)
 
 
 def test_large_and_unreadable_numbers(spark, rules):
