@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ _SPECIAL = {
     ("fact_purchase_order", "quantity_ordered"): "number",
 }
 
+_READ = "_read_"
+
 DISCRETE = (
     ("dim_product", "category"),
     ("fact_sales", "payment_mode"),
@@ -57,17 +61,25 @@ def structure_table(table: str, raw: DataFrame, rules: Rules) -> DataFrame:
     Any other unreadable number is noted in `refused_values`, with which a row is not loaded.
     Whole numbers are read as BIGINT and money with four decimals, whatever is declared: the
     rules see large values, and only publishing narrows them.
+
+    Each text is read once, into a column of its own; value and note both come from that column,
+    and a note is only put together in a row that has lost a text.
     """
     declared = STAR[table]
-    typed, notes = [], {REFUSED: [], UNREADABLE: []}
+    read, lost = {}, {REFUSED: [], UNREADABLE: []}
     for c in raw.columns:
-        column = _typed(table, c, declared[c].dataType, rules)
-        typed.append(column.alias(c))
+        read[_READ + c] = _typed(table, c, declared[c].dataType, rules)
         if not isinstance(declared[c].dataType, T.StringType) and c != "product_id":
             kind = UNREADABLE if _may_be_unreadable(table, c, declared[c].dataType) else REFUSED
-            lost = F.col(c).isNotNull() & column.isNull()
-            notes[kind].append(F.when(lost, F.concat(F.lit(c + "="), F.col(c))))
-    return raw.select(*typed, *(joined_notes(n).alias(kind) for kind, n in notes.items()))
+            lost[kind].append(c)
+    notes = []
+    for kind, columns in lost.items():
+        missing = {c: F.col(c).isNotNull() & F.col(_READ + c).isNull() for c in columns}
+        texts = [F.when(m, F.concat(F.lit(c + "="), F.col(c))) for c, m in missing.items()]
+        some = reduce(or_, missing.values(), F.lit(False))
+        notes.append(F.when(some, joined_notes(texts)).alias(kind))
+    typed = [F.col(_READ + c).alias(c) for c in raw.columns]
+    return raw.withColumns(read).select(*typed, *notes)
 
 
 def structure(raw: dict[str, DataFrame], rules: Rules) -> dict[str, DataFrame]:
