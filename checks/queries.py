@@ -302,7 +302,7 @@ def _line(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def high_value_flag(spark, sf_dir):
-    lines = cleaned(spark, sf_dir)
+    lines = published(spark, sf_dir).working("clean_sales")
     limit = sales.high_value_limit(lines, RULES)
     return _line(sales.flag_high_value(lines, limit), "net_amount", "is_high_value")
 
@@ -465,10 +465,10 @@ _QUERIES: dict[str, Query] = {
         tables.order_delivery_dates,
         "po_id", "order_date", "actual_delivery_date", "fixed_dates",
     ),
-    "stock_spikes": _table_rule(
-        "fact_stock",
-        lambda df: stock.repair_spikes(df, RULES),
-        "stock_event_id", "product_id", "date_id", "stock_on_hand", "fixed_level",
+    "stock_spikes": _on_published(
+        lambda out: stock.repair_spikes(out.working("fact_stock"), RULES).select(
+            "stock_event_id", "product_id", "date_id", "stock_on_hand", "fixed_level"
+        )
     ),
     "salary_line": lambda spark, sf_dir: tables.salary_line_report(
         typed(spark, sf_dir)["dim_employee"], RULES

@@ -10,65 +10,57 @@ from ..functions.numbers import MONEY, hit
 from ..rules import STOCKOUT_EVENT, Rules
 
 
-def _with_blocks(stock: DataFrame, rules: Rules) -> DataFrame:
-    """Add `block`: day and slice of the day for a product with very many events.
-
-    A product is one block and one sort as long as it is of moderate size. A heavy one
-    is cut by day, and a heavy day into slices of event numbers, which keeps the order.
-    The lists of heavy products and of their heavy days have at most
-    (all rows / stock_block_rows) entries each, a bound that makes them safe to
-    broadcast; without the hint their size would be guessed from the whole table and
-    the events shuffled once more.
-    """
-    n, limit = F.col("n"), max(rules.stock_block_rows, 1)
-    heavy = (
-        stock.groupBy(F.col("product_id").alias("heavy_product"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(n > rules.stock_block_rows)
-        .select("heavy_product", F.lit(True).alias("is_heavy"))
-    )
-    marked = (
-        stock.join(
-            F.broadcast(heavy), stock["product_id"].eqNullSafe(heavy["heavy_product"]), "left"
-        )
-        .withColumn("is_heavy", F.coalesce("is_heavy", F.lit(False)))
-        .drop("heavy_product")
-    )
-    days = (
-        marked.where("is_heavy")
-        .groupBy(F.col("product_id").alias("heavy_product"), F.col("date_id").alias("heavy_day"))
+def _counts(stock: DataFrame) -> DataFrame:
+    return stock.groupBy(F.col("product_id").alias("heavy_product")).agg(F.count("*").alias("n"))
+
+
+def _block_rows(stock: DataFrame) -> int | None:
+    """The events a shuffle partition holds on average, if any product has more of them. There
+    are fewer such products than partitions, so a list of them is safe to broadcast."""
+    total, most = _counts(stock).agg(F.sum("n"), F.max("n")).first()
+    limit = -(-(total or 0) // int(stock.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return limit if (most or 0) > limit else None
+
+
+def _of_heavy(stock: DataFrame, heavy: DataFrame) -> DataFrame:
+    same = stock["product_id"].eqNullSafe(heavy["heavy_product"])
+    return stock.join(F.broadcast(heavy), same).drop("heavy_product")
+
+
+def _heavy_days(rows: DataFrame, limit: int) -> DataFrame:
+    """Days of heavy products that are cut into slices of event numbers, fewer than partitions."""
+    return (
+        rows.groupBy(F.col("product_id").alias("heavy_product"), F.col("date_id").alias("heavy_day"))
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count("*").alias("n"),
             F.min("stock_event_id").alias("first_id"),
             F.max("stock_event_id").alias("last_id"),
         )
-        .where(n > rules.stock_block_rows)
-        .withColumn("slices", F.ceil(n / F.lit(limit)))
+        .where(F.col("n") > limit)
+        .withColumn("slices", F.ceil(F.col("n") / F.lit(max(limit, 1))))
+        .drop("n")
     )
+
+
+def _in_blocks(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Add `block` to events of heavy products: the day, and its slice. It keeps the order."""
     share = (F.col("stock_event_id") - F.col("first_id")).cast("double") / (
         F.col("last_id").cast("double") - F.col("first_id").cast("double") + 1
     )
-    return (
-        marked.join(
-            F.broadcast(days),
-            marked["product_id"].eqNullSafe(days["heavy_product"])
-            & marked["date_id"].eqNullSafe(days["heavy_day"]),
-            "left",
-        )
-        .withColumn("slice", F.coalesce(F.floor(share * F.col("slices")), F.lit(0)))
-        .withColumn("block", F.when(F.col("is_heavy"), F.struct("date_id", "slice")))
-        .select(*stock.columns, "is_heavy", "block")
+    slice_ = F.coalesce(F.floor(share * F.col("slices")), F.lit(0)).alias("slice")
+    same_day = rows["product_id"].eqNullSafe(days["heavy_product"]) & rows["date_id"].eqNullSafe(
+        days["heavy_day"]
     )
+    joined = rows.join(F.broadcast(days), same_day, "left")
+    return joined.select(*rows.columns, F.struct("date_id", slice_).alias("block"))
 
 
 def _neighbours_across_blocks(rows: DataFrame) -> DataFrame:
     """For each block of a heavy product the last event before and the first after it."""
     # A block lies within one day, so this is the order of the events in it.
     event = F.struct("stock_event_id", "stock_on_hand", "quantity_change", "date_id")
-    blocks = (
-        rows.where("is_heavy")
-        .groupBy("product_id", "block")
-        .agg(F.min(event).alias("first"), F.max(event).alias("last"))
+    blocks = rows.groupBy("product_id", "block").agg(
+        F.min(event).alias("first"), F.max(event).alias("last")
     )
     in_order = W.partitionBy("product_id").orderBy(
         F.col("block.date_id").asc_nulls_last(), "block.slice"
@@ -81,15 +73,40 @@ def _neighbours_across_blocks(rows: DataFrame) -> DataFrame:
     )
 
 
-def repair_spikes(stock: DataFrame, rules: Rules) -> DataFrame:
+def _with_neighbours(stock: DataFrame, limit: int) -> DataFrame:
+    """Events with `block`, null for a product that is one window, and beside them (not `kept`)
+    those at the edges of neighbouring blocks."""
+    heavy = _counts(stock).where(F.col("n") > limit).select("heavy_product")
+    own = _of_heavy(stock, heavy)
+    days = _heavy_days(own, limit)
+    marks = heavy.select("heavy_product", F.lit(True).alias("is_heavy"))
+    marked = stock.join(
+        F.broadcast(marks), stock["product_id"].eqNullSafe(marks["heavy_product"]), "left"
+    ).select(*stock.columns, "is_heavy")
+    rows = _in_blocks(marked, days).withColumn("block", F.when(F.col("is_heavy"), F.col("block")))
+    halo = _neighbours_across_blocks(_in_blocks(own, days))
+    rows = rows.select(*stock.columns, "block", F.lit(True).alias("kept"))
+    return rows.unionByName(halo.withColumn("kept", F.lit(False)), allowMissingColumns=True)
+
+
+def repair_spikes(stock: DataFrame, rules: Rules, block_rows: int | None = None) -> DataFrame:
     """Take back a jump in the level that the next event takes back, or that comes last.
 
     The error of an event is the change of the level beyond the booked quantity.
     All errors are taken from the levels as they came in.
+
+    An event needs its two neighbours, so a product is one window. A product with more events than
+    a partition holds on average is cut by day, a heavy day by event number, and each such block
+    gets the events at the edges of its neighbours. A narrow count of the products comes first;
+    where none is heavy, there is nothing else but one shuffle of the events. `block_rows` sets
+    another limit than that average, for tests.
     """
-    blocks = _with_blocks(stock, rules).withColumn("kept", F.lit(True))
-    halo = _neighbours_across_blocks(blocks).withColumn("kept", F.lit(False))
-    rows = blocks.unionByName(halo, allowMissingColumns=True)
+    if block_rows is None:
+        block_rows = _block_rows(stock)
+    if block_rows is None:
+        rows = stock.withColumns({"block": F.lit(0), "kept": F.lit(True)})
+    else:
+        rows = _with_neighbours(stock, block_rows)
 
     # Level and change settle the order of events that repeat a number, here as in the halo.
     w = W.partitionBy("product_id", "block").orderBy(

@@ -6,12 +6,15 @@ meet a dimension wherever the result allows it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
 from ..rules import SALARY_EXPENSES
+from ..session import materialised, shared_folder
 
 Star = dict[str, DataFrame]
 
@@ -140,8 +143,7 @@ _MASTER_ORDER = (
 )
 
 
-def _described_sales(star: Star) -> DataFrame:
-    sales = star["fact_sales"].select(*_MASTER_ORDER)
+def _described(sales: DataFrame, star: Star) -> DataFrame:
     return (
         sales.join(star["dim_date"].select("date_id", "tamil_month", "season_tag"), "date_id")
         .join(star["dim_customer"].select("customer_id", "customer_type"), "customer_id")
@@ -156,35 +158,78 @@ def _stock_levels(star: Star) -> DataFrame:
     return star["fact_stock"].select("product_id", "date_id", "stock_event_id", "stock_on_hand")
 
 
-def _computed_once(few_rows: DataFrame) -> DataFrame:
-    """Keep a small result that a plan uses twice, where the session has a folder for it."""
-    kept = few_rows.sparkSession.sparkContext.getCheckpointDir() is not None
-    return few_rows.checkpoint() if kept else few_rows
-
-
 def master_join_all(star: Star) -> DataFrame:
     """Every sale with its date, customer, product and the stock events of that day."""
     return (
-        _described_sales(star)
+        _described(star["fact_sales"].select(*_MASTER_ORDER), star)
         .join(_stock_levels(star), ["product_id", "date_id"], "left")
         .select(*_MASTER_COLUMNS)
     )
 
 
+def _only(table: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a table with keys among those of a few rows, which are few enough to broadcast."""
+    return table.join(F.broadcast(few.select(*keys).distinct()), keys, "left_semi")
+
+
+def first_sales(star: Star, n: int) -> DataFrame:
+    """The first n sales, in the order of the master join, that have a known day, customer and
+    product, with what is known of these.
+
+    Months are folders: only as many of the first ones are read as hold the wanted number of
+    rows. The rows are cut to that number before any join, which then has few rows on one side;
+    if too few of them have all three, four times as many are taken.
+    """
+    sales = sales_by_month(star)
+    months = sales.where("sale_month is not null").groupBy("sale_month").count()
+    # One row a month of the calendar.
+    sizes = sorted((r["sale_month"], r["count"]) for r in months.collect())
+    total, wanted = sum(size for _, size in sizes), n
+    while True:
+        held, chosen = 0, []
+        for month, size in sizes:
+            if held < wanted:
+                held, chosen = held + size, [*chosen, month]
+        early = sales.where(F.col("sale_month").isin(chosen)).select(*_MASTER_ORDER)
+        few = _written(early.orderBy(*_MASTER_ORDER).limit(wanted), "first-sales")
+        known = {**star} | {
+            name: _only(star[name], few, [key])
+            for name, key in (
+                ("dim_date", "date_id"), ("dim_customer", "customer_id"), ("dim_product", "product_id"),
+            )
+        }
+        found = _written(_described(few, known), "described-sales")
+        if wanted >= total or found.count() >= n:
+            return found.orderBy(*_MASTER_ORDER).limit(n)
+        wanted *= 4
+
+
+def _written(few_rows: DataFrame, name: str) -> DataFrame:
+    spark = few_rows.sparkSession
+    app = spark.sparkContext.applicationId
+    folder = f"{shared_folder(spark)}/ledgerloom/{app}/{name}-{uuid.uuid4().hex}"
+    return materialised(few_rows, folder)
+
+
 def master_join(star: Star, n: int = 1000) -> DataFrame:
     """The first n rows of the master join by date.
 
-    Every sale gives at least one row, so the first n rows come from the first n
-    sales: these are cut first, once, and the stock table is only searched for their
-    products and days. The broadcast side has at most n rows.
+    Every sale gives at least one row, so the first n rows come from the first n sales. The stock
+    table is only searched for their products and days, and gives at most n events of each, cut
+    before they are shuffled. The broadcast sides have at most n rows.
     """
-    order = list(_MASTER_ORDER)
-    first_sales = _computed_once(_described_sales(star).orderBy(*order).limit(n))
-    keys = first_sales.select("product_id", "date_id").distinct()
-    stock = _stock_levels(star).join(F.broadcast(keys), ["product_id", "date_id"], "left_semi")
+    sales = first_sales(star, n)
+    keys = ["product_id", "date_id"]
+    of_day = W.partitionBy(*keys).orderBy("stock_event_id")
+    stock = (
+        _only(_stock_levels(star), sales, keys)
+        .withColumn("place", F.row_number().over(of_day))
+        .where(F.col("place") <= n)
+        .drop("place")
+    )
     return (
-        first_sales.join(stock, ["product_id", "date_id"], "left")
-        .orderBy(*order, "stock_event_id")
+        sales.join(stock, keys, "left")
+        .orderBy(*_MASTER_ORDER, "stock_event_id")
         .limit(n)
         .select(*_MASTER_COLUMNS)
     )

@@ -250,7 +250,8 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
     with ThreadPoolExecutor(4) as pool:
         waiting = [pool.submit(_write, df, path) for path, df in writes.items()]
         card = work("product_card", sales.product_card(rows, product, rules))
-        cleaned = sales.clean_sales(rows, card, rules)
+        # Repairs run once; the limit is taken from one column of what they have written.
+        cleaned = work("clean_sales", sales.clean_sales(rows, card, rules))
         limit = work("high_value_limit", sales.high_value_limit(cleaned, rules))
         for write in waiting:
             write.result()

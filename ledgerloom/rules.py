@@ -55,9 +55,6 @@ class Rules:
     gst_rates: tuple[int, ...] = GST_RATES
     gst_default: int = GST_DEFAULT
 
-    # A product, or a day of one, with more stock events than this is processed in parts.
-    stock_block_rows: int = 20_000_000
-
     surge_festival: str = "Deepavali"
     period_before: tuple[int, int] = (2018, 2019)
     period_after: tuple[int, int] = (2022, 2023)

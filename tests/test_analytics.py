@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import plan_of, values
 
@@ -115,6 +117,46 @@ def test_master_join_fans_out_and_keeps_sales_without_stock(star):
     assert values(analytics.master_join(s, 1), "quantity", "stock_on_hand") == [(1, 7)]
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 50])
+def test_master_join_goes_on_until_enough_sales_are_known(star, n):
+    """The first days' sales have no known product, so that more months are needed."""
+    sales = [(99, f"2020-0{m}-0{d}", 1, 1, 10) for m in (1, 2, 3) for d in range(1, 9)]
+    sales += [(1, "2020-04-01", 1, 7, 20), (2, "2020-04-02", 1, 8, 20), (1, "2020-05-01", 77, 9, 1)]
+    stock = [(i, 1, "2020-04-01", i) for i in range(60)]
+    s = star(sales, stock)
+    want = [(7, i) for i in range(60)] + [(8, None)]
+    assert values(analytics.master_join(s, n), "quantity", "stock_on_hand") == want[:n]
+    assert analytics.first_sales(s, n).count() == min(n, 2)
+
+
+def test_master_join_reads_few_folders_and_moves_no_sales(spark, sf_dir, monkeypatch):
+    from checks import queries
+
+    s = queries._star(spark, sf_dir)
+    want = values(analytics.master_join(s), "*")
+    plans, written = [], analytics._written
+
+    def seen(df, name):
+        plans.append((name, plan_of(df)))
+        return written(df, name)
+
+    monkeypatch.setattr(analytics, "_written", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = analytics.master_join(s, 20)
+        last = plan_of(got)
+        assert values(got, "*") == want[:20]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    cut = [p for name, p in plans if name == "first-sales"]
+    months = s["fact_sales"].select("sale_month").distinct().count()
+    for p in cut:
+        assert "TakeOrderedAndProject" in p and "Exchange" not in p
+        chosen = re.search(r"PartitionFilters: \[.*?sale_month#\d+ (?:IN \((.*?)\)|= \S+)", p)
+        assert chosen and len((chosen[1] or "one").split(",")) < months / 2
+    assert "WindowGroupLimit" in last  # events of a product's day are cut before they are moved
+
+
 OPEX = [
     ("2020-01-01", "Salary-Permanent", 10, 3), ("2020-01-01", "Salary-Seasonal", 5, 1),
     ("2020-01-01", "Rent", 7, None), ("2020-02-01", "Salary-Permanent", 10, 0),

@@ -41,7 +41,7 @@ def plain_spikes(events):
     return result
 
 
-@pytest.mark.parametrize("block_rows", [10**9, 40, 5, 1, 0])
+@pytest.mark.parametrize("block_rows", [None, 10**9, 40, 5, 1, 0])
 def test_stock_spikes(spark, block_rows):
     rng = random.Random(7)
     events = []
@@ -57,7 +57,7 @@ def test_stock_spikes(spark, block_rows):
         "stock_event_id bigint, date_id date, product_id string, event_type string, "
         "quantity_change decimal(18,2), stock_on_hand decimal(18,2)",
     )
-    fixed = stock.repair_spikes(df, Rules(stock_block_rows=block_rows)).collect()
+    fixed = stock.repair_spikes(df, Rules(), block_rows).collect()
     expected = plain_spikes(events)
     assert {r["stock_event_id"]: r["stock_on_hand"] for r in fixed} == expected
     changed = {e[0] for e in events if e[5] != expected[e[0]]}

@@ -1,10 +1,11 @@
 from decimal import Decimal
 
 import pytest
-from conftest import column, values
+from conftest import column, plan_of, values
 
 from ledgerloom.operators import sales, stock, structuring, tables
 from ledgerloom.rules import Rules
+from pyspark.sql import functions as F
 
 SALE = (
     "id int; product_id string; quantity int; unit_price decimal(18,2); discount_pct decimal(7,2);"
@@ -240,7 +241,7 @@ def test_stock_spikes_of_heavy_products(spark, sf_dir, block_rows):
 
     events_in = queries.typed(spark, sf_dir)["fact_stock"]
     whole = stock.repair_spikes(events_in, Rules())
-    split = stock.repair_spikes(events_in, Rules(stock_block_rows=block_rows))
+    split = stock.repair_spikes(events_in, Rules(), block_rows)
     assert whole.where("fixed_level").count() > 100
     assert split.count() == whole.count()
     assert split.exceptAll(whole).count() == 0
@@ -254,7 +255,7 @@ def test_heavy_product_with_missing_dates(table, rules):
     ]
     df = table(STOCK, rows)
     whole = stock.repair_spikes(df, rules)
-    split = stock.repair_spikes(df, Rules(stock_block_rows=1))
+    split = stock.repair_spikes(df, Rules(), 1)
     assert column(whole, "stock_on_hand", "stock_event_id") == [100, 95, 90, 85, 130, 125]
     assert split.exceptAll(whole).count() == 0
 
@@ -294,3 +295,18 @@ def test_repairs_feed_later_repairs(sale, product, rules):
         (100, 200, 200, 80)
     ]
     assert isinstance(df.first()["gross_margin"], Decimal)
+
+
+def test_stock_is_shuffled_once_unless_a_product_is_heavy(spark, sf_dir, rules):
+    from checks import queries
+
+    df = queries.published(spark, sf_dir).working("fact_stock")
+    assert stock._block_rows(df) is None
+    plan = plan_of(stock.repair_spikes(df, rules))
+    assert plan.count("Exchange ") == 1 and plan.count("FileScan") == 1
+    assert "Broadcast" not in plan
+    hot = df.withColumn("product_id", F.when(F.col("stock_event_id") % 3 < 2, "hot").otherwise(F.col("product_id")))
+    assert stock._block_rows(hot) is not None
+    whole = stock.repair_spikes(hot, rules, 10**12)
+    assert stock.repair_spikes(hot, rules).exceptAll(whole).count() == 0
+    assert whole.where("fixed_level").count() > 0
