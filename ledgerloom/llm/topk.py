@@ -12,8 +12,9 @@ A shard is one row that holds about SHARD vectors, a block one row of QUERIES qu
 meets each shard, and the shards' best are merged per query.
 
 Vectors that are null, empty or hold a null or non-finite component take no part, nor do rows
-without an id. Of rows that repeat an id the least vector counts. Only vectors of the same length
-are compared: those of another length than the query are no candidates. If there are fewer than k
+without an id. Rows that repeat an id with different vectors are candidates and queries each, and
+such a row is a candidate for the others too; rows that repeat both count once. Only vectors of the
+same length are compared: those of another length than the query are no candidates. If there are fewer than k
 candidates, all are given. Other columns are not read.
 """
 
@@ -36,9 +37,9 @@ SCALE = 1024
 class Shard:
     """Vectors by component, ids ascending, with the postings of each component by value."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids = ids[order]
+    def __init__(self, uids: np.ndarray, ids: np.ndarray, vectors: np.ndarray):
+        order = np.lexsort((uids, ids))
+        self.uids, self.ids = uids[order], ids[order]
         self.by_component = np.ascontiguousarray(vectors[order].T)
         self.by_value = np.argsort(self.by_component, axis=1)
         self.least = self.by_component.min(axis=1)
@@ -53,7 +54,7 @@ class Shard:
         return held[: self.negative[component]]
 
     def search(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best vectors but the query's own."""
+        """Ids and scores of the k best vectors but the query's own row."""
         bounds = np.maximum(0, np.maximum(query * self.least, query * self.most))
         terms = np.argsort(-bounds, kind="stable")
         terms = terms[bounds[terms] > 0]
@@ -61,7 +62,7 @@ class Shard:
         first = [self.postings(int(t), int(np.sign(query[t]))) for t in terms[:4]]
         first = [p[-2 * k :] if query[t] > 0 else p[: 2 * k] for p, t in zip(first, terms, strict=False)]
         seeds = np.unique(np.concatenate([np.zeros(0, np.int64), *first]))
-        seeds = seeds[self.ids[seeds] != own]
+        seeds = seeds[self.uids[seeds] != own]
         seed_scores = query @ self.by_component[:, seeds]
         enough = len(seeds) >= k
         bar = np.partition(seed_scores, -k)[-k] if enough else np.iinfo(np.int64).min
@@ -74,7 +75,7 @@ class Shard:
             alive = np.flatnonzero(seen)
         else:  # a vector without any posting has a score of zero or less and may be among the best
             alive = np.arange(len(self.ids))
-        alive = alive[self.ids[alive] != own]
+        alive = alive[self.uids[alive] != own]
         scores = np.zeros(len(alive), np.int64)
         for i, t in enumerate(terms):
             scores += query[t] * self.by_component[t, alive]
@@ -89,59 +90,65 @@ class Shard:
         return self.ids[alive[best]], scores[best]
 
 
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query_uid long, query_id long, vec_id long, score long"
 
 
 def _packed(vectors: DataFrame, group: str) -> DataFrame:
     """One row per group and length: ids and components, one vector after the other."""
     # Groups are dealt by hash of a unique id, so each holds about as many as was asked for.
-    held = vectors.groupBy(group, "size").agg(F.collect_list(F.struct("vec_id", "vector")).alias("v"))
+    held = vectors.groupBy(group, "size").agg(F.collect_list(F.struct("uid", "vec_id", "vector")).alias("v"))
     return held.select(
-        group, "size", F.col("v.vec_id").alias("ids"), F.flatten("v.vector").alias("components")
-    )
+        group, "size", F.col("v.uid").alias("uids"), F.col("v.vec_id").alias("ids"),
+        F.flatten("v.vector").alias("components"),
+    )
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHARD,
            block: int = QUERIES) -> DataFrame:
-    """The k best vectors of each query, both tables of vec_id and vector (whole numbers)."""
+    """The k best vectors of each query, both tables of uid (a row's number, the same in both),
+    vec_id, vector (whole numbers) and its size."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
 
-                def matrix(ids: str, components: str, row: dict = row):
-                    names = row[ids].values.to_numpy()
-                    return names, row[components].values.to_numpy().reshape(len(names), -1)
+                def matrix(components: str, *names: str, row: dict = row):
+                    held = [row[c].values.to_numpy() for c in names]
+                    return *held, row[components].values.to_numpy().reshape(len(held[0]), -1)
 
-                held = Shard(*matrix("ids", "components"))
+                held = Shard(*matrix("components", "uids", "ids"))
                 out = []
-                for name, query in zip(*matrix("query_ids", "queries"), strict=True):
-                    ids, scores = held.search(query, k, name)
-                    out.append((np.full(len(ids), name), ids, scores))
+                for own, name, query in zip(
+                    *matrix("queries", "query_uids", "query_ids"), strict=True
+                ):
+                    ids, scores = held.search(query, k, own)
+                    out.append((np.full(len(ids), own), np.full(len(ids), name), ids, scores))
                 columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+                names = ["query_uid", "query_id", "vec_id", "score"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def dealt(df: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
         n = max(1, -(-df.count() // size))
-        return df.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(n))), n
+        return df.withColumn(name, F.pmod(F.xxhash64("uid"), F.lit(n))), n
 
     vectors, n_shards = dealt(vectors, shard, "shard")
     queries, _ = dealt(queries, block, "block")
     blocks = _packed(queries, "block").select(
         F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), "size",
-        F.col("ids").alias("query_ids"), F.col("components").alias("queries"),
+        F.col("uids").alias("query_uids"), F.col("ids").alias("query_ids"),
+        F.col("components").alias("queries"),
     )
     pairs = _packed(vectors, "shard").join(blocks, ["shard", "size"])
     found = map_arrow(pairs.drop("shard", "size"), work, _FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id")
     return found.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score").where(
         F.col("rank") <= k
     )
 
 
 def whole(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and vector: the floor of each component times `scale`."""
+    """vec_id, vector (the floor of each component times `scale`) and its size, each row once."""
     vector = F.transform("embedding", lambda x: x.cast("double"))
     infinite = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = embeddings.where(
@@ -151,32 +158,28 @@ def whole(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
         F.col("vec_id").cast("long"),
         F.transform(vector, lambda x: F.floor(x * scale).cast("long")).alias("vector"),
     )
-    return (
-        rows.groupBy("vec_id")
-        .agg(F.min("vector").alias("vector"))
-        .withColumn("size", F.size("vector"))
-    )
+    return rows.distinct().withColumn("size", F.size("vector"))
 
 
 def op2(embeddings: DataFrame) -> DataFrame:
-    vectors = written(whole(embeddings), "vectors")
+    held = whole(embeddings).withColumn("uid", F.monotonically_increasing_id())
+    vectors = written(held, "vectors")
     return search(vectors, vectors.where("vec_id % 100 = 0"))
 
 
 OP2_SQL = """
 WITH v AS (
-    SELECT vec_id, min([CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) FOR x IN embedding]) AS v
+    SELECT DISTINCT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) FOR x IN embedding] AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
       AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
-    GROUP BY vec_id
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    SELECT q.vec_id AS query_id, q.v AS own, c.vec_id AS vec_id,
            CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    FROM v q JOIN v c ON (q.vec_id <> c.vec_id OR q.v <> c.v) AND len(q.v) = len(c.v)
     WHERE q.vec_id % 100 = 0
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    SELECT *, row_number() OVER (PARTITION BY query_id, own ORDER BY score DESC, vec_id) AS rank
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10

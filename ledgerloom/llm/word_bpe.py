@@ -1,18 +1,22 @@
-"""Token ids by the tokenizers library, with the ids of words remembered.
+"""Token ids of a vocabulary with word ends, as the tokenizers library gives them.
 
 The tokenizer of the vocabulary file puts its text into NFC and lower case, drops white space and
 merges each match of its pattern on its own, so the ids of a text are those of its words one after
-the other. A word is encoded once per worker: words of Latin letters, digits and signs, whose
-normal form is themselves in lower case, match by match by the library's model; all others (and
-texts that may hold a special token) word by word by the whole tokenizer.
+the other. A text of Latin letters, digits and signs, which is its own normal form in lower case, is
+cut into matches by marks and merged as a whole by rank: ids are in the order of merges, and a mark
+stands for the end of a word. Tests compare that with the library. In other texts (and those that
+may hold a special token) each word is encoded once per worker: plain ones match by match by the
+library's model, all others by the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
 import public_tokenizers
 import regex
+import tiktoken
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,6 +26,14 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Characters that are their own NFC and have one lower case in every version of Unicode.
 _PLAIN = re.compile("[\t-\r -~¡-ɏ]*")
 _ASCII_SPACE = re.compile("[\t-\r ]+")
+# The matches of the pattern in such texts that are no runs of letters.
+_SIGNS = re.compile(
+    r"'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~¡-©«-±´¶-¸»¿×÷]+|[0-9²³¹¼-¾]"
+)
+# Stands for the end of a word. No plain text holds it, nor the byte's own token.
+_MARK = "\0"
+_GAPS = "\t\n\v\f\r "
+_WORD_END = "</w>"
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -40,6 +52,18 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.pattern = regex.compile(PATTERN)
+        letters = {c: bytes([b]) for b, c in _ALPHABET.items()}
+        added = self.tokenizer.get_added_tokens_decoder()
+        ranks = {}
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            if i not in added:
+                body = token.removesuffix(_WORD_END)
+                end = _MARK.encode() * (body != token)
+                ranks[b"".join(map(letters.__getitem__, body)) + end] = i
+        pattern = f"[^{_MARK}]+{_MARK}"
+        self.ranks = tiktoken.Encoding(
+            "words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+        )
         self.words: dict[str, bytes] = {}
         self.matches: dict[str, bytes] = {}
 
@@ -61,13 +85,24 @@ class WordBpe:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
+    def _plain(self, text: str) -> bytes:
+        """Ids of a plain text, which is in lower case."""
+        marked = _SIGNS.sub(f"{_MARK}\\g<0>{_MARK}", text)
+        for gap in _GAPS:
+            marked = marked.replace(gap, _MARK)
+        ids = self.ranks.encode_to_numpy(marked + _MARK, disallowed_special=())
+        return ids.astype(np.dtype("<u4")).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes | None] = []
+        for t in texts:
+            lower = t.lower() if "<|" not in t and _PLAIN.fullmatch(t) else None
+            # The one letter here whose lower case is more than a letter has a dot above.
+            out.append(None if lower is None or "\u0307" in lower else self._plain(lower))
         split = [
-            t.lower().split()
-            if "<|" not in t and _PLAIN.fullmatch(t)
-            else [w for w in _ASCII_SPACE.split(t) if w]
-            for t in texts
+            [w for w in _ASCII_SPACE.split(t) if w] if ids is None else []
+            for t, ids in zip(texts, out, strict=True)
         ]
         known = self.words
         if len(known) > CACHE_WORDS:
@@ -76,7 +111,10 @@ class WordBpe:
             self.matches.clear()
         for word in set().union(*split) - known.keys():
             known[word] = self._word(word)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        return [
+            b"".join(map(known.__getitem__, words)) if ids is None else ids
+            for ids, words in zip(out, split, strict=True)
+        ]
 
 
 _loaded: dict[str, WordBpe] = {}

@@ -52,6 +52,17 @@ def test_ids_are_those_of_the_library(tokenizer):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
 
 
+def test_ids_of_all_plain_characters(tokenizer):
+    rng = np.random.default_rng(3)
+    letters = [*map(chr, [*range(9, 14), *range(32, 127), *range(161, 592)])]
+    rows = ["".join(f"{a}{b}x {b}1{a}'s{a} " for a, b in zip(letters[i : i + 20], letters[i + 7 : i + 27])) for i in range(0, len(letters), 20)]
+    rows += ["".join(rng.choice([*"abst'  .,1\n\tÉß", "'re", "'LL", "İ", "<|"], 40)) for _ in range(2000)]
+    rows += ["x" * 5000, "", " ", "\n", "'", "''s", ".'s", "' s"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in rows]
+    got = word_bpe.loaded(None).encode(rows)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
 def wanted(tokenizer, rows):
     out, start = [], 0
     for name, text in rows:

@@ -1,23 +1,25 @@
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from ledgerloom.llm import topk
 
 
 def brute(rows, k=10):
-    held = {}
+    held = set()
     for name, vector in rows:
         if name is None or not vector or any(x is None or not np.isfinite(x) for x in vector):
             continue
-        whole = [int(np.floor(1024 * float(x))) for x in vector]
-        held[name] = min(held.get(name, whole), whole)
+        held.add((name, tuple(int(np.floor(1024 * float(x))) for x in vector)))
     out = []
-    for q in held:
+    for own in held:
+        q, query = own
         if q % 100 == 0:
             scored = [
-                (-sum(a * b for a, b in zip(held[q], v, strict=True)), n)
-                for n, v in held.items()
-                if n != q and len(v) == len(held[q])
+                (-sum(a * b for a, b in zip(query, v, strict=True)), n)
+                for n, v in held
+                if (n, v) != own and len(v) == len(query)
             ]
             out += [(q, r + 1, n, -s) for r, (s, n) in enumerate(sorted(scored)[:k])]
     return sorted(out)
@@ -39,7 +41,7 @@ def test_several_shards_and_blocks(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [int(x) for x in rng.integers(-9, 10, 8)]) for i in range(500)]
     df = spark.createDataFrame(rows, "vec_id long, vector array<bigint>")
-    df = df.selectExpr("*", "size(vector) as size")
+    df = df.selectExpr("*", "vec_id as uid", "size(vector) as size")
     got = topk.search(df, df.where("vec_id < 50"), k=7, shard=64, block=8).collect()
     v = dict(rows)
     want = []
@@ -60,6 +62,19 @@ def test_odd_vectors(spark):
     assert {r[0] for r in found(spark, rows)} == {0, 100}
 
 
+def test_rows_that_repeat_an_id_are_candidates_each(spark):
+    rng = np.random.default_rng(9)
+    rows = [(int(i), rng.integers(-3, 4, 4).astype(float).tolist()) for i in rng.integers(0, 120, 400)]
+    rows += [(1, [0.9, 0.0]), (1, [0.5, 0.0]), (100, [1.0, 0.0]), (100, [2.0, 0.0]), (100, [2.0, 0.0])]
+    assert found(spark, rows) == brute(rows)
+    best = [r for r in found(spark, [(1, [0.9]), (1, [0.5]), (100, [1.0])]) if r[0] == 100]
+    assert best == [(100, 1, 1, 921 * 1024), (100, 2, 1, 512 * 1024)]
+    with duckdb.connect() as db:
+        table = pd.DataFrame(rows, columns=["vec_id", "embedding"])
+        db.register("embeddings", table)
+        assert sorted(db.execute(topk.OP2_SQL).fetchall()) == brute(rows)
+
+
 def test_all_scores_negative(spark):
     rows = [(0, [1.0, 1.0])] + [(i, [-float(i), -1.0]) for i in range(1, 20)]
     assert found(spark, rows) == brute(rows)
