@@ -11,6 +11,8 @@ library's model, all others by the whole tokenizer.
 
 from __future__ import annotations
 
+import functools
+import json
 import re
 
 import numpy as np
@@ -49,13 +51,14 @@ _ALPHABET = byte_alphabet()
 
 class WordBpe:
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.path = path
         self.pattern = regex.compile(PATTERN)
         letters = {c: bytes([b]) for b, c in _ALPHABET.items()}
-        added = self.tokenizer.get_added_tokens_decoder()
+        with open(path, encoding="utf-8") as f:
+            held = json.load(f)
+        added = {t["id"] for t in held["added_tokens"]}
         ranks = {}
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+        for token, i in held["model"]["vocab"].items():
             if i not in added:
                 body = token.removesuffix(_WORD_END)
                 end = _MARK.encode() * (body != token)
@@ -67,6 +70,11 @@ class WordBpe:
         self.words: dict[str, bytes] = {}
         self.matches: dict[str, bytes] = {}
 
+    @functools.cached_property
+    def tokenizer(self) -> Tokenizer:
+        """Only loaded where a text needs it."""
+        return Tokenizer.from_file(self.path)
+
     def _match(self, match: str) -> bytes:
         known = self.matches.get(match)
         if known is None:
@@ -74,7 +82,7 @@ class WordBpe:
                 text = match
             else:
                 text = match.encode().decode("latin-1").translate(_ALPHABET)
-            known = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(text))
+            known = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(text))
             self.matches[match] = known
         return known
 
