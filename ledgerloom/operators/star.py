@@ -89,7 +89,8 @@ def load_star(published: dict[str, DataFrame], rules: Rules) -> dict[str, DataFr
 
 def write_star(star: dict[str, DataFrame], folder: str) -> None:
     """Full refresh of a second copy, for consumers that want plain table folders."""
-    for table, df in star.items():
+    for table in STAR:
+        df = star[table]
         layout = [c for c in LAYOUT.get(table, ()) if c in df.columns]
         df.write.mode("overwrite").partitionBy(*layout).parquet(f"{folder}/{table}")
 

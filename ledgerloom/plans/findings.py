@@ -8,26 +8,12 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
 from ..rules import Rules
-from .analytics import Star, _monthly_revenue, _salaried_headcount, _sum, sales_by_month
+from .analytics import Star, _salaried_headcount, _sum, monthly_revenue, sales_by_day
 
 
 _DAY = ["date_id", "sale_month"]
 
 
-def _per_day(star: Star) -> DataFrame:
-    """Sales summed per day: small enough to meet the calendar."""
-    return (
-        sales_by_month(star)
-        .where(F.col("date_id").isNotNull())
-        .groupBy(*_DAY)
-        .agg(
-            F.sum("net_amount").alias("net"),
-            F.sum("discount_pct").alias("discounts"),
-            F.count("discount_pct").alias("n_discounts"),
-        )
-    )
-
-
 def _calendar(star: Star) -> DataFrame:
     """The calendar with its months. Joined on day and month, a choice of days also
     chooses the month folders of the sales that are read."""
@@ -38,7 +24,7 @@ def tamil_month_profile(star: Star) -> DataFrame:
     """Revenue and mean discount per Tamil month, with the year's best and worst month."""
     calendar = _calendar(star).select(*_DAY, "year", "tamil_month")
     months = (
-        _per_day(star)
+        sales_by_day(star)
         .join(calendar, _DAY)
         .groupBy("year", "tamil_month")
         .agg(
@@ -64,7 +50,7 @@ def festival_months(star: Star) -> DataFrame:
     # Also true of every name; unlike `is not null` it counts as a choice of days.
     festivals = _calendar(star).where(F.col("festival_name") != "")
     return (
-        _per_day(star)
+        sales_by_day(star)
         .join(festivals.select(*_DAY, "year", "festival_name"), _DAY)
         .groupBy("year", "festival_name")
         .agg(_sum("net", "revenue"))
@@ -125,7 +111,7 @@ def surge_ratio(star: Star, rules: Rules) -> DataFrame:
         .withColumn("is_surge", F.lit(True))
     )
     months = (
-        _monthly_revenue(star)
+        monthly_revenue(star)
         .join(_salaried_headcount(star), "month")
         .join(surge, "month", "left")
         .withColumn("is_surge", F.coalesce("is_surge", F.lit(False)))
@@ -157,15 +143,15 @@ def surge_ratio(star: Star, rules: Rules) -> DataFrame:
 
 def period_compare(star: Star, rules: Rules) -> DataFrame:
     """Mean yearly revenue of two periods and their ratio, one row."""
-    year = F.year("sale_month")
+    year = F.year("month")
     period = F.when(year.between(*rules.period_before), "before").when(
         year.between(*rules.period_after), "after"
     )
     yearly = (
-        sales_by_month(star)
+        monthly_revenue(star)
         .where(year.between(*rules.period_before) | year.between(*rules.period_after))
         .groupBy(year.alias("year"), period.alias("period"))
-        .agg(_sum("net_amount", "revenue"))
+        .agg(_sum("revenue", "revenue"))
     )
     periods = (
         yearly.groupBy()

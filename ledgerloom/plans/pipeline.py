@@ -19,8 +19,10 @@ from ..operators import assertions, reconcile, routing, sales, stock, structurin
 from ..operators.star import accepted, apply_schema, load_star, refused
 from ..rules import Rules
 from ..schemas import LAYOUT, RAW_TABLES, REFUSED, STAR, UNREADABLE
+from ..session import folder_version
 from ..sources import published as pub
 from ..sources.raw import raw_row_counts, stacked
+from . import analytics
 
 # The repairs that count as corrected values, per table.
 COUNTED_FLAGS = {
@@ -84,7 +86,27 @@ class Published:
     def star(self) -> dict[str, DataFrame]:
         """The tables to be loaded, if the run has ended and its final conditions hold."""
         assertions.require_integrity(self.metric("integrity"))
-        return load_star({name: self.table(name, layout=True) for name in STAR}, self.rules)
+        tables = {name: self.table(name, layout=True) for name in STAR}
+        return load_star(tables, self.rules) | self.summaries()
+
+    def _sales_version(self) -> str:
+        return folder_version(self.spark, self.path("published", "fact_sales"))
+
+    def summaries(self) -> dict[str, DataFrame]:
+        """Sums of the clean sales by day and by month and product, if they were taken of the
+        files that are there now."""
+        if self.metric("summarised").first()["version"] != self._sales_version():
+            return {}
+        return {name: self.working(name) for name in (analytics.PRODUCT_MONTHS, analytics.DAYS)}
+
+    def write_summaries(self) -> None:
+        tables = {name: self.table(name, layout=True) for name in ("fact_sales", "dim_date")}
+        tables = {name: accepted(df) for name, df in tables.items()}
+        version = self._sales_version()
+        for name, df in analytics.summaries(tables).items():
+            _write(df, self.path("work", name))
+        taken = self.spark.range(1).select(F.lit(version).alias("version"))
+        _write(taken, self.path("metrics", "summarised"))
 
     def quarantine(self) -> DataFrame:
         """Every quarantined sale, the product as it was written."""
@@ -262,6 +284,7 @@ def run(raw: dict[str, DataFrame], calendar: DataFrame, rules: Rules, folder: st
     routed = routing.route(flagged, lookups, rules)
     pub.write_routed(conformed("fact_sales", routed), out.path("published", "fact_sales"))
 
+    out.write_summaries()
     _write(out.integrity().coalesce(1), out.path("metrics", "integrity"))
     assertions.require_integrity(out.metric("integrity"))
     return out

@@ -44,6 +44,16 @@ def input_bytes(spark: SparkSession, folder: str) -> int:
     return files.getContentSummary(path).getLength()
 
 
+def folder_version(spark: SparkSession, folder: str) -> str:
+    """A text that changes when the files under a folder do: how many there are, their bytes, and
+    when the folder was last written whole."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.getContentSummary(path)
+    ended = files.getFileStatus(path).getModificationTime()
+    return f"{found.getFileCount()}-{found.getLength()}-{ended}"
+
+
 def build_session(name: str, master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(name).config("spark.ui.enabled", "false")
     if master:

@@ -8,7 +8,7 @@ from conftest import plan_of, values
 from checks import compare, oracle, queries, staged
 from ledgerloom.operators import routing, sales, structuring
 from ledgerloom.operators.assertions import IntegrityError
-from ledgerloom.plans import findings, pipeline
+from ledgerloom.plans import analytics, findings, pipeline
 from ledgerloom.schemas import LAYOUT, RAW_TABLES, STAR
 from ledgerloom.session import input_bytes, settings_for
 from ledgerloom.sources import published as pub
@@ -87,14 +87,46 @@ def test_route_reads_only_its_folders(job):
 
 
 def test_reports_on_some_months_read_only_their_folders(job):
-    festivals = plan_of(findings.festival_months(job.star()))
+    star = {name: df for name, df in job.star().items() if name in STAR}  # no summaries
+    festivals = plan_of(findings.festival_months(star))
     assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", festivals)
-    periods = plan_of(findings.period_compare(job.star(), staged.RULES))
+    periods = plan_of(findings.period_compare(star, staged.RULES))
     assert re.search(r"PartitionFilters: \[[^\]]*year\(sale_month", periods)
 
 
+REPORTS = (
+    analytics.category_yoy, analytics.revenue_per_employee, analytics.operating_margin,
+    findings.tamil_month_profile, findings.festival_months,
+    lambda star: findings.surge_ratio(star, staged.RULES),
+    lambda star: findings.period_compare(star, staged.RULES),
+)
+
+
+def test_reports_read_the_summaries_and_not_the_sales(job):
+    star = job.star()
+    bare = {name: df for name, df in star.items() if name in STAR}
+    for report in REPORTS:
+        read, instead = (" ".join(report(x).inputFiles()) for x in (star, bare))
+        assert "/work/sales_by_" in read and "/published/fact_sales/" not in read
+        assert "/published/fact_sales/" in instead
+        assert sorted(map(str, values(report(star), "*"))) == sorted(map(str, values(report(bare), "*")))
+
+
+def test_summaries_of_other_sales_are_not_read(spark, sf_dir, tmp_path):
+    job = queries.run_job(spark, sf_dir, str(tmp_path / "run"))
+    assert set(job.summaries()) == {analytics.PRODUCT_MONTHS, analytics.DAYS}
+    days = job.star()["fact_sales"].where("date_id is not null").select("date_id").distinct().count()
+    assert job.star()[analytics.DAYS].count() == days
+    files = next((tmp_path / "run/published/fact_sales/route=clean").glob("sale_month=*"))
+    files.rename(tmp_path / "gone")
+    assert job.summaries() == {}
+    assert analytics.DAYS not in job.star()
+
+
 def test_published_types(job):
-    for name, df in job.star().items():
+    star = job.star()
+    for name in STAR:
+        df = star[name]
         found = [(f.name, f.dataType) for f in df.schema if f.name not in LAYOUT.get(name, ())]
         assert found == [(f.name, f.dataType) for f in STAR[name]]
 
@@ -130,10 +162,10 @@ def test_final_conditions_read_the_sales_once(job):
 
 def test_csv_publication(spark, job, tmp_path):
     pub.publish_clean({"dim_store": job.clean("dim_store")}, str(tmp_path), form="csv")
-    back = spark.read.option("header", True).csv(f"{tmp_path}/dim_store_clean.csv")
-    assert sorted(values(back, "store_name")) == sorted(
-        values(job.clean("dim_store"), "store_name")
-    )
+    back = pub.read_published(spark, str(tmp_path), "dim_store_clean", "csv")
+    stores = values(job.clean("dim_store"), "store_name", "location")
+    assert sorted(values(back, "store_name", "location")) == sorted(stores)
+    assert any("\n" in location for _, location in stores)  # one has line breaks
     empty = job.clean("fact_sales_quarantine").limit(0)
     pub.publish_quarantine(empty, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/quarantined_fact_sales").columns == empty.columns
