@@ -6,7 +6,10 @@ counted over all documents, and a feature that is more frequent in toxic example
 have it weighs more, by its log-likelihood ratio. The nearest examples by cosine come from a
 block-max inverted index of all examples: they lie in blocks, an upper bound per feature and block
 is kept, the blocks of highest bound of the whole query are visited first, and then, exactly, all
-blocks that can hold a nearer example.
+blocks that can hold a nearer example. The few features that most examples hold would fill the
+postings without telling examples apart: their weights are columns of a matrix instead, and count in
+a bound as the product of the lengths of both sides (Cauchy and Schwarz). Only examples whose bound
+reaches the nearest ones found are looked up in the matrix. Weights are kept in single precision.
 
 Neighbours vote with a power of their similarity, times the weight of their class (the examples are
 a sample by class, the weights undo it), against a prior vote for the rate of toxic examples, so a
@@ -43,6 +46,8 @@ MEMO = 1 << 18  # words whose features a worker remembers
 SEED = 4  # blocks that are visited before the others are judged
 NEIGHBOURS = 16
 BLOCK = 64
+COLUMNS = 256  # features that are kept as columns, the most frequent ones of the examples
+ROUNDING = 1e-9  # what a bound may lack
 POWER = 2  # of the similarity in a vote
 PRIOR_VOTE = 0.2
 THRESHOLD = 0.3
@@ -120,34 +125,47 @@ class Index:
     posts: np.ndarray  # first posting of each run
     places: np.ndarray
     weights: np.ndarray
+    column: np.ndarray  # of each feature, -1 if it has postings
+    matrix: np.ndarray  # weights of the examples in the columns
+    lengths: np.ndarray  # of the rows of the matrix
 
     @classmethod
     def build(cls, ids, toxic, vectors: list[dict[int, float]], n_features: int) -> Index:
         sizes = [len(v) for v in vectors]
         features = np.array([f for v in vectors for f in v], np.int32)
-        weights = np.array([w for v in vectors for w in v.values()], np.float64)
+        weights = np.array([w for v in vectors for w in v.values()], np.float32)
         return cls.of(ids, toxic, sizes, features, weights, n_features)
 
     @classmethod
     def of(cls, ids, toxic, sizes, features, weights, n_features: int) -> Index:
         """From the vectors one after the other, with their sizes."""
-        places = np.repeat(np.arange(len(sizes), dtype=np.int32), np.array(sizes, np.int64))
+        n = len(sizes)
+        places = np.repeat(np.arange(n, dtype=np.uint16 if n < 1 << 16 else np.int32), np.array(sizes, np.int64))
+        frequency = np.bincount(features, minlength=n_features)
+        column = np.full(n_features, -1, np.int32)
+        common = np.argsort(-frequency, kind="stable")[:COLUMNS]
+        column[common] = np.arange(len(common), dtype=np.int32)
+        matrix = np.zeros((n, len(common)), np.float32)
+        held = column[features] >= 0
+        matrix[places[held], column[features[held]]] = weights[held]
+        lengths = np.sqrt(np.square(matrix, dtype=np.float64).sum(axis=1))
+        features, places, weights = features[~held], places[~held], weights[~held]
         order = np.argsort(features, kind="stable")
         # One after the other: of millions of postings no copies are held longer than needed.
         features = features[order]
         places = places[order]
         weights = weights[order]
-        del order
+        del order, held
         block = places // BLOCK
         new = np.ones(len(places), bool)
         new[1:] = (features[1:] != features[:-1]) | (block[1:] != block[:-1])
         first = np.flatnonzero(new)
-        # Rounded up, so that a bound in single precision stays one.
-        most = np.maximum.reduceat(weights, first) if len(first) else weights
-        bounds = np.nextafter(most.astype(np.float32), np.float32(2))
-        runs = np.searchsorted(features[first], np.arange(n_features + 1))
-        return cls(np.array(ids, np.int64), np.array(toxic, np.int64), runs, block[first], bounds,
-                   np.append(first, len(places)), places, weights)
+        bounds = np.maximum.reduceat(weights, first) if len(first) else weights
+        runs = np.searchsorted(features[first], np.arange(n_features + 1)).astype(np.int32)
+        return cls(np.array(ids, np.int64), np.array(toxic, np.int64), runs,
+                   block[first].astype(np.int32), bounds,
+                   np.append(first, len(places)).astype(np.int32 if len(places) < 1 << 31 else np.int64),
+                   places, weights, column, matrix, lengths)
 
     def nearest(self, query: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples that share a feature; the earlier place
@@ -157,47 +175,54 @@ class Index:
 
     def search(self, features: np.ndarray, weights: np.ndarray, k: int):
         """As nearest(), of a query in two arrays."""
-        first, last = self.runs[features], self.runs[features + 1]
+        n = len(self.ids)
+        columns = self.column[features]
+        common = columns >= 0
+        across = np.zeros(self.matrix.shape[1])
+        across[columns[common]] = weights[common]
+        # What the columns can add to the cosine of each example, and to the best of each block.
+        more = math.sqrt(float(across @ across)) * self.lengths + ROUNDING
+        n_blocks = -(-n // BLOCK)
+        features, weights = features[~common], weights[~common]
+        first, last = self.runs[features].astype(np.int64), self.runs[features + 1].astype(np.int64)
         runs = _ranges(first, last)
         weight = np.repeat(weights, last - first)
         block = self.block[runs]
-        n_blocks = -(-len(self.ids) // BLOCK)
         bound = np.bincount(block, weight * self.bounds[runs], n_blocks)
+        if n:
+            bound = bound + np.maximum.reduceat(more, np.arange(0, n, BLOCK))
         chosen = np.zeros(n_blocks, bool)
         chosen[np.argsort(-bound, kind="stable")[:SEED]] = True
-        held = chosen[block]
-        found, cosines = self._best(runs[held], weight[held], k)
-        if len(found) == k:
-            chosen |= bound >= cosines[-1] - 1e-9
-        else:
-            chosen |= bound > 0
-        if chosen.sum() * 2 > n_blocks:  # nearly all: run by run would cost more
-            return self._top(*self._all(features, weights), k)
-        held = chosen[block]
-        return self._best(runs[held], weight[held], k)
+        places, cosines = self._best(chosen, runs, block, weight, across, more, 0.0, k)
+        least = cosines[-1] if len(places) == k else 0.0
+        chosen = bound >= least - ROUNDING
+        return self._best(chosen, runs, block, weight, across, more, least, k)
 
-    def _best(self, runs: np.ndarray, weight: np.ndarray, k: int):
-        first, last = self.posts[runs], self.posts[runs + 1]
+    def _best(self, chosen, runs, block, weight, across, more, least: float, k: int):
+        """The k nearest examples in the chosen blocks, as long as they reach `least`."""
+        held = chosen[block]
+        if not held.all():
+            runs, weight = runs[held], weight[held]
+        first, last = self.posts[runs].astype(np.int64), self.posts[runs + 1].astype(np.int64)
         at = _ranges(first, last)
-        return self._top(self.places[at], np.repeat(weight, last - first) * self.weights[at], k)
-
-    def _all(self, features: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = self.posts[self.runs[features]]
-        last = self.posts[self.runs[features + 1]]
-        ranges = list(zip(first.tolist(), last.tolist(), strict=True))
-        places = np.concatenate([self.places[a:b] for a, b in ranges])
-        products = np.concatenate([self.weights[a:b] for a, b in ranges])
-        products *= np.repeat(weights, last - first)
-        return places, products
-
-    def _top(self, places: np.ndarray, products: np.ndarray, k: int):
-        sums = np.bincount(places, products, len(self.ids)).round(12)
-        found = np.flatnonzero(sums > 0)
-        if len(found) > k:
-            least = np.partition(sums[found], len(found) - k)[len(found) - k]
-            found = found[sums[found] >= least]
-        best = found[np.lexsort((found, -sums[found]))[:k]]
-        return best, sums[best]
+        products = np.repeat(weight, last - first) * self.weights[at]
+        sums = np.bincount(self.places[at], products, len(self.ids))
+        # Weights are never negative, so what the postings give is a lower bound.
+        if len(sums) > k:
+            least = max(least, float(np.partition(sums, len(sums) - k)[len(sums) - k]))
+        there = np.repeat(chosen, BLOCK)[: len(sums)]
+        found = np.flatnonzero(there & (sums + more >= least - ROUNDING))
+        exact = (sums[found] + self.matrix[found] @ across).round(12)
+        return self._top(found, exact, k)
+
+    def _top(self, places: np.ndarray, sums: np.ndarray, k: int):
+        some = sums > 0
+        places, sums = places[some], sums[some]
+        if len(places) > k:
+            some = sums >= np.partition(sums, len(sums) - k)[len(sums) - k]
+            places, sums = places[some], sums[some]
+        best = np.lexsort((places, -sums))[:k]
+        return places[best], sums[best]
 
 
 @dataclasses.dataclass
@@ -352,7 +377,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Model:
     model = Model(vocabulary, weights, blank, class_weight, base, rate(empty) if empty else base)
     numbers = [np.frombuffer(r["features"], np.int32) for r in rows]
     vectors = [
-        model.vector(f, np.frombuffer(r["counts"], np.int32))
+        model.vector(f, np.frombuffer(r["counts"], np.int32)).astype(np.float32)
         for f, r in zip(numbers, rows, strict=True)
     ]
     # Examples with the same foremost feature lie in the same blocks, so bounds differ by block.

@@ -6,13 +6,15 @@ import pytest
 from ledgerloom.llm import toxicity
 
 
-def test_index_finds_the_nearest():
+@pytest.mark.parametrize("columns", [0, 7, 256])
+def test_index_finds_the_nearest(monkeypatch, columns):
+    monkeypatch.setattr(toxicity, "COLUMNS", columns)
     rng = random.Random(3)
     vectors = []
     for _ in range(700):
         raw = {rng.randrange(40): rng.random() + 0.1 for _ in range(rng.randrange(1, 6))}
         norm = sum(w * w for w in raw.values()) ** 0.5
-        vectors.append({f: w / norm for f, w in raw.items()})
+        vectors.append({f: float(np.float32(w / norm)) for f, w in raw.items()})
     index = toxicity.Index.build(range(700), [0] * 700, vectors, 40)
     dense = np.zeros((700, 40))
     for i, v in enumerate(vectors):
@@ -108,3 +110,81 @@ def test_copies_of_examples_of_rare_words(documents, spark):
 
 def _letters(i):
     return [chr(97 + i // 26 % 26) + chr(97 + i % 26) + x for x in "qxj"]
+
+
+def brute_scores(rows, labels):
+    """The score of each row by comparing its whole vector with those of all examples."""
+    toxic = {}
+    for name, label in labels:
+        if name is not None and label is not None:
+            toxic[name] = max(label, toxic.get(name, 0))
+    held = [(name, toxic[name], toxicity.features(t or "")) for name, t in rows if name in toxic]
+    size = [sum(c == label for _, c, _ in held) for label in (0, 1)]
+    names = sorted({f for *_, found in held for f in found})
+    frequency = {f: sum(f in toxicity.features(t or "") for _, t in rows) for f in names}
+
+    def g(n, expected):
+        return n * np.log(n / expected) if n else 0.0
+
+    weight = {}
+    for f in names:
+        a, b = (sum(f in found for _, c, found in held if c == label) for label in (1, 0))
+        total = len(held)
+        ratio = 2 * sum(
+            g(n, m * s / total)
+            for n, m, s in ((a, a + b, size[1]), (b, a + b, size[0]),
+                            (size[1] - a, total - a - b, size[1]), (size[0] - b, total - a - b, size[0]))
+        )
+        ratio = max(ratio, 0) if a / size[1] > b / size[0] else 0
+        weight[f] = (np.log((1 + len(rows)) / (1 + frequency[f])) + 1) * (1 + ratio / 25)
+
+    def vector(found):
+        raw = {f: (1 + np.log(n)) * weight[f] for f, n in found.items() if f in weight}
+        norm = sum(x * x for x in raw.values()) ** 0.5
+        return {f: x / norm for f, x in raw.items()}
+
+    distinct = {(name, c, tuple(sorted(found.items()))) for name, c, found in held}
+    sampled = [sum(c == label for _, c, _ in distinct) for label in (0, 1)]
+    totals = [sum(c == label for c in toxic.values()) for label in (0, 1)]
+    scale = [t / s for t, s in zip(totals, sampled, strict=True)]
+
+    def rate(items):
+        mass = [scale[label] * sum(c == label for c in items) for label in (0, 1)]
+        return mass[1] / sum(mass)
+
+    base = rate([c for _, c, _ in distinct])
+    empty = [c for _, c, found in distinct if not found]
+    examples = [(c, vector(dict(found))) for _, c, found in distinct if found]
+    scores = []
+    for _, t in rows:
+        own = vector(toxicity.features(t or ""))
+        if not own:
+            scores.append(rate(empty) if empty else base)
+            continue
+        cosines = sorted(
+            ((sum(w * v.get(f, 0) for f, w in own.items()), c) for c, v in examples), reverse=True
+        )
+        near = [(x * x * scale[c], c) for x, c in cosines[:16] if x > 0]
+        votes = sum(x for x, _ in near)
+        scores.append((sum(x * c for x, c in near) + 0.2 * base) / (votes + 0.2))
+    return scores
+
+
+@pytest.mark.parametrize("columns", [5, 256])
+def test_scores_against_all_examples(documents, spark, monkeypatch, columns):
+    monkeypatch.setattr(toxicity, "COLUMNS", columns)
+    rng = random.Random(5)
+    words = [f"{a}{b}{c}" for a in "bdgk" for b in ("an", "ol", "ersi", "u") for c in ("", "ma", "tion")]
+    rows = [
+        (i, " ".join(words[int(rng.random() ** 2 * len(words))] for _ in range(rng.randrange(5, 60))))
+        for i in range(150)
+    ]
+    rows += [(200, None), (201, " \n "), (202, "!"), (203, "long " * 30000), (5, rows[5][1])]
+    labels = [(i, int("bol" in rows[i][1] and i % 3 > 0)) for i in range(150) if i % 4]
+    labels += [(200, 0), (201, 1), (None, 1), (0, None)]
+    docs = documents(rows)
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = sorted((str(r["doc_id"]), r["score"]) for r in toxicity.score(docs, model).collect())
+    want = sorted((str(i), x) for (i, _), x in zip(rows, brute_scores(rows, labels), strict=True))
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([x for _, x in got], [x for _, x in want], atol=1e-5)
