@@ -55,10 +55,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def pivoted(buckets: DataFrame, fits: str) -> DataFrame:
-    """Candidate pairs of each entry of a bucket (bucket, node, n, p) with the bucket's first."""
-    pivot = buckets.groupBy("bucket").agg(F.min(F.struct("n", "node", "p")).alias("pivot"))
-    pairs = buckets.join(pivot, "bucket").selectExpr(
-        "pivot.node a", "node b", "pivot.n n_a", "n n_b", "pivot.p p_a", "p p_b"
+    """Candidate pairs of each entry of a bucket (bucket, node, n, p, and m if there is one) with the
+    bucket's first."""
+    more = [c for c in buckets.columns if c not in ("bucket", "node")]
+    first = F.struct("n", "node", *(c for c in more if c != "n"))
+    pivot = buckets.groupBy("bucket").agg(F.min(first).alias("pivot"))
+    pairs = buckets.join(pivot, "bucket").select(
+        F.col("pivot.node").alias("a"),
+        F.col("node").alias("b"),
+        *(F.col(f"pivot.{c}").alias(f"{c}_a") for c in more),
+        *(F.col(c).alias(f"{c}_b") for c in more),
     )
     return pairs.where(f"a <> b and {fits}").select("a", "b").distinct()
 
@@ -73,7 +79,7 @@ def unconnected(buckets: DataFrame, labels: DataFrame, fits: str) -> DataFrame:
         .select("bucket")
     )
     own = written(own.join(mixed, "bucket"), "unconnected")
-    names = ("node", "n", "p", "label")
+    names = [c for c in own.columns if c != "bucket"]
     a = own.select("bucket", *(F.col(c).alias(f"{c}_a") for c in names))
     b = own.select("bucket", *(F.col(c).alias(f"{c}_b") for c in names))
     pairs = a.join(b, "bucket").where(f"label_a < label_b and {fits}")

@@ -7,9 +7,13 @@ group. Groups that share a prefix shingle are candidates if their sizes and the
 allow enough overlap. The pairs are expanded to the groups' distinct sets, and each is verified on
 the whole sets. Components of the links follow by alternating star steps.
 
+Each set has a parity bitmap: bit i tells whether an odd number of its shingles hash to i. The bits
+in which two bitmaps differ are at most the shingles that one set only has, so a pair with too many
+of them is no link, and its texts are not read.
+
 A shingle that many groups have in their prefix would give the square of their number of pairs. So
 its groups are first paired with one of them only, their pivot; a second round pairs those that are
-not connected by then. Sets in the same group are treated alike. No link between two components is
+not connected by then. In the same way a pair of groups is first a pair of one set of each. Sets in the same group are treated alike. No link between two components is
 lost that way, and connected sets are not compared again.
 
 The order only decides what work is done, not what is found, so the frequent shingles may come from
@@ -40,6 +44,7 @@ SIMILARITY = 85  # per cent
 FREQUENT = 16  # documents from which a shingle is put to the end
 LISTED = 1 << 18  # frequent shingles that are listed, the most frequent first
 STRETCH = 1 << 21  # shingles that are counted at once to find frequent ones
+BITMAP = 4  # words of 64 bits of the parity bitmap of a set
 PAIRS = 1 << 18  # candidate pairs that a task gives out at once
 
 
@@ -86,27 +91,35 @@ def frequent_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarra
     return values[order], np.log2(found["n"].to_numpy()[order].astype(float)).astype(np.int8)
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set of shingles. The upper bits choose, the order is by all bits."""
+    places = ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(64 * BITMAP)
+    odd = np.bincount(places.astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_length(n: int, similarity: int) -> int:
     """So many first shingles cannot all be outside the other set: it has similarity * n of them."""
     return n - -(-similarity * n // 100) + 1
 
 
 def _members(docs: DataFrame, size: int, similarity: int, frequent) -> DataFrame:
-    """Per document: size and key of its set, its prefix, the prefix's key, and how many of its
-    first shingles are not frequent."""
+    """Per document: size, key and parity bitmap of its set, its prefix, the prefix's key, and how
+    many of its first shingles are not frequent."""
     listed, rarity = frequent
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                n, keys, prefixes, prefix_keys, rare = [], [], [], [], []
+                n, keys, prefixes, prefix_keys, rare, marks = [], [], [], [], [], []
                 for values in _sets(part, size):
                     n.append(len(values))
                     if not len(values):
-                        for column in (keys, prefixes, prefix_keys, rare):
+                        for column in (keys, prefixes, prefix_keys, rare, marks):
                             column.append(None)
                         continue
                     keys.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
+                    marks.append(parity(values))
                     length = prefix_length(len(values), similarity)
                     least = length
                     if len(listed):
@@ -125,27 +138,45 @@ def _members(docs: DataFrame, size: int, similarity: int, frequent) -> DataFrame
                         pa.array(n, pa.int32()), pa.array(keys, pa.binary()),
                         pa.array(prefix_keys, pa.binary()),
                         pa.array(prefixes, pa.list_(pa.int64())), pa.array(rare, pa.int32()),
+                        pa.array(marks, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "text_key", "n", "set_key", "prefix_key", "prefix", "rare"],
+                    names=["doc_id", "text_key", "n", "set_key", "prefix_key", "prefix", "rare", "marks"],
                 )
 
     schema = (
         "doc_id long, text_key binary, n int, set_key binary, prefix_key binary, "
-        "prefix array<bigint>, rare int"
+        "prefix array<bigint>, rare int, marks array<bigint>"
     )
     return map_arrow(docs, work, schema)
 
 
+def _near(similarity: int) -> str:
+    """SQL: do the bitmaps m_a and m_b of two sets differ in no more bits than alike sets can?"""
+    least = f"div({similarity} * (n_a + n_b) + {99 + similarity}, {100 + similarity})"
+    bits = " + ".join(f"bit_count(m_a[{i}] ^ m_b[{i}])" for i in range(BITMAP))
+    return f"{bits} <= n_a + n_b - 2 * {least}"
+
+
 def _fits(similarity: int) -> str:
     """SQL: may two sets of sizes n_a and n_b whose first common shingle is at p_a and p_b be
     similar enough?"""
     least = f"div({similarity} * (n_a + n_b) + {99 + similarity}, {100 + similarity})"
     return (
         f"100 * least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)"
-        f" and least(n_a - p_a, n_b - p_b) >= {least}"
+        f" and least(n_a - p_a, n_b - p_b) >= {least} and {_near(similarity)}"
     )
 
 
+def _expanded(group_pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs of sets (a, b) of pairs of groups that may be similar enough; of sets with a label
+    those of different ones."""
+    for side in ("a", "b"):
+        own = sets.select(F.col("group").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in sets.columns if c != "group"))
+        group_pairs = group_pairs.join(own, side)
+    fits = _near(similarity) + (" and label_a <> label_b" if "label" in sets.columns else "")
+    return group_pairs.where(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def _rare_pairs(postings: DataFrame, similarity: int) -> DataFrame:
     """Candidate pairs of groups (a, b) of the shingles that few groups have in their prefix."""
 
@@ -244,35 +275,43 @@ def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> Da
     )
     postings = groups.select("group", "n", "rare", F.posexplode("prefix").alias("place", "token"))
     rare = postings.where("place < rare").select("token", "group", "n", "place")
-    group_pairs = _rare_pairs(rare, similarity)
+    group_pairs = written(_rare_pairs(rare, similarity), "group-pairs")
 
     # From here on the nodes are distinct sets.
     nodes = some.groupBy("set_key", "prefix_key", "n").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("rep")
+        F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("marks").alias("marks")
     )
-    keys = groups.selectExpr("prefix_key", "n", "group", "first_set <> last_set several")
+    keys = groups.selectExpr("prefix_key", "n", "group", "first_set", "first_set <> last_set several")
     nodes = written(nodes.join(keys, ["prefix_key", "n"]).drop("prefix_key"), "set-groups")
-    sets = nodes.select("group", F.col("set_key").alias("node"), "n")
-    expanded = (
-        group_pairs.join(sets.select(F.col("group").alias("a"), F.col("node").alias("x")), "a")
-        .join(sets.select(F.col("group").alias("b"), F.col("node").alias("y")), "b")
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
+    sets = nodes.select("group", F.col("set_key").alias("node"), "n", F.col("marks").alias("m"))
     # Buckets of any size: frequent shingles, and groups of several sets.
     frequent_postings = postings.where("place >= rare").select("token", "group", F.col("place").alias("p"))
     buckets = (
         frequent_postings.join(sets, "group")
-        .select(F.col("token").alias("bucket"), "node", "n", "p")
-        .union(nodes.where("several").select("group", "set_key", "n", F.lit(0)))
+        .select(F.col("token").alias("bucket"), "node", "n", "p", "m")
+        .union(nodes.where("several").select("group", "set_key", "n", F.lit(0), "marks"))
     )
     buckets = written(buckets, "shared-prefixes")
 
     rep = nodes.select("set_key", "rep")
-    first = expanded.union(pivoted(buckets, fits)).distinct()
+    one = nodes.where("set_key = first_set").select("group", F.col("set_key").alias("node"), "n", F.col("marks").alias("m"))
+    first = _expanded(group_pairs, one, similarity).union(pivoted(buckets, fits)).distinct()
     links = written(_verified(first, rep, docs, size, similarity), "set-links")
-    labels = components(links)
-    second = unconnected(buckets, labels, fits)
-    links = links.union(_verified(second, rep, docs, size, similarity))
+    labels = written(components(links), "set-labels")
+    # Pairs of groups with several sets, of which not all are connected yet.
+    own = sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = written(own, "labelled-sets")
+    ends = own.groupBy("group").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("sets")
+    )
+    open_pairs = group_pairs
+    for side in ("a", "b"):
+        open_pairs = open_pairs.join(ends.select(F.col("group").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("low", "high", "sets"))), side)
+    open_pairs = open_pairs.where(
+        "sets_a + sets_b > 2 and least(low_a, low_b) <> greatest(high_a, high_b)"
+    ).select("a", "b")
+    second = _expanded(open_pairs, own, similarity).union(unconnected(buckets, labels, fits))
+    links = links.union(_verified(second.distinct(), rep, docs, size, similarity))
     labels = components(links)
 
     least = nodes.select(F.col("set_key").alias("node"), F.col("rep.doc_id").alias("doc_id"))
