@@ -26,8 +26,12 @@ text get the same score, repeated rows too. Other columns are not read by a scor
 from __future__ import annotations
 
 import dataclasses
+import functools
+import hashlib
 import math
+import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -76,8 +80,12 @@ class Vocabulary:
     def __len__(self) -> int:
         return len(self.names)
 
+    @functools.cached_property
+    def packed(self) -> bytes:
+        return zlib.compress("\n".join(self.names).encode())
+
     def __reduce__(self):
-        return Vocabulary, (self.names,)
+        return _vocabulary, (self.packed,)
 
     def _of(self, word: str) -> tuple[int, ...]:
         if not self.known:
@@ -105,6 +113,25 @@ class Vocabulary:
         return found, np.bincount(at, each, len(found)).astype(np.int32)
 
 
+_held: dict[str, tuple[bytes, object]] = {}  # the last vocabulary and model of a worker
+
+
+def _once(kind: str, packed: bytes, make):
+    """What `make` gives, made anew in a worker only where the packed form is another one."""
+    key = hashlib.sha256(packed).digest()
+    if _held.get(kind, (b"",))[0] != key:
+        _held[kind] = (key, make())
+    return _held[kind][1]
+
+
+def _vocabulary(packed: bytes) -> Vocabulary:
+    def make() -> Vocabulary:
+        text = zlib.decompress(packed).decode()
+        return Vocabulary(text.split("\n") if text else [])
+
+    return _once("vocabulary", packed, make)
+
+
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The numbers of all the ranges, one after the other."""
     sizes = last - first
@@ -225,15 +252,55 @@ class Index:
         return places[best], sums[best]
 
 
+@dataclasses.dataclass
+class Examples:
+    """Counts of the features of the examples, one after the other. Their vectors follow from them,
+    so this is all of the index that is sent to the workers, and they make it."""
+
+    ids: np.ndarray
+    toxic: np.ndarray
+    sizes: np.ndarray
+    features: np.ndarray  # ascending in each example
+    counts: np.ndarray
+
+    def index(self, weight: np.ndarray) -> Index:
+        n = len(self.ids)
+        raw = ((1 + np.log(self.counts)) * weight[self.features]).astype(np.float32)
+        ends = np.cumsum(self.sizes)
+        starts = ends - self.sizes
+        parts = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        # Examples with the same foremost feature lie in the same blocks, so bounds differ by block.
+        foremost = np.array([self.features[a + x.argmax()] for a, x in zip(starts.tolist(), parts, strict=True)])
+        for x in parts:
+            x /= math.sqrt(float(x.astype(np.float64) @ x))
+        order = np.lexsort((np.arange(n), foremost)) if n else np.zeros(0, np.int64)
+        at = _ranges(starts[order], ends[order])
+        return Index.of(self.ids[order], self.toxic[order], self.sizes[order], self.features[at], raw[at], len(weight))
+
+
 @dataclasses.dataclass
 class Model:
     vocabulary: Vocabulary
     weight: np.ndarray  # of each feature
-    index: Index
+    examples: Examples
     class_weight: tuple[float, float]
     base: float  # the rate of toxic texts
     bare: float  # and among those without a feature
 
+    @functools.cached_property
+    def index(self) -> Index:
+        return self.examples.index(self.weight)
+
+    @functools.cached_property
+    def packed(self) -> bytes:
+        held = self.examples
+        steps = np.diff(held.features, prepend=held.features.dtype.type(0))
+        fields = (held.ids, held.toxic, held.sizes, steps, held.counts)
+        return zlib.compress(pickle.dumps((self.weight, fields, self.class_weight, self.base, self.bare), protocol=5))
+
+    def __reduce__(self):
+        return _model, (self.vocabulary, self.packed)
+
     def vector(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
         raw = (1 + np.log(counts)) * self.weight[features]
         return raw / math.sqrt(float(raw @ raw)) if len(raw) else raw
@@ -251,6 +318,16 @@ class Model:
         return score, list(zip(ids, cosines.tolist(), toxic.tolist(), strict=True))
 
 
+def _model(vocabulary: Vocabulary, packed: bytes) -> Model:
+    def make() -> Model:
+        weight, fields, *rest = pickle.loads(zlib.decompress(packed))
+        ids, toxic, sizes, steps, counts = fields
+        features = np.cumsum(steps, dtype=steps.dtype)
+        return Model(vocabulary, weight, Examples(ids, toxic, sizes, features, counts), *rest)
+
+    return _once("model", packed, make)
+
+
 def examples(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame, dict[int, int]]:
     """Up to `limit` labelled documents of each class (doc_id, text, toxic), and how many documents
     of each class there are."""
@@ -373,23 +450,18 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Model:
     base = rate(sampled)
     empty = Counter(r["toxic"] for r in rows if not r["features"])
     rows = [r for r in rows if r["features"]]
-    blank = Index.build([], [], [], len(names))
-    model = Model(vocabulary, weights, blank, class_weight, base, rate(empty) if empty else base)
-    numbers = [np.frombuffer(r["features"], np.int32) for r in rows]
-    vectors = [
-        model.vector(f, np.frombuffer(r["counts"], np.int32)).astype(np.float32)
-        for f, r in zip(numbers, rows, strict=True)
-    ]
-    # Examples with the same foremost feature lie in the same blocks, so bounds differ by block.
-    order = sorted(range(len(rows)), key=lambda i: (numbers[i][vectors[i].argmax()], i))
-    if rows:
-        ids, toxic = [rows[i]["doc_id"] for i in order], [rows[i]["toxic"] for i in order]
-        sizes = [len(numbers[i]) for i in order]
-        numbers = np.concatenate([numbers[i] for i in order])
-        del rows
-        vectors = np.concatenate([vectors[i] for i in order])
-        model.index = Index.of(ids, toxic, sizes, numbers, vectors, len(names))
-    return model
+
+    def joined(column: str) -> np.ndarray:
+        return np.frombuffer(b"".join(r[column] for r in rows), np.int32)
+
+    held = Examples(
+        np.array([r["doc_id"] for r in rows], np.int64),
+        np.array([r["toxic"] for r in rows], np.int64),
+        np.array([len(r["features"]) // 4 for r in rows], np.int64),
+        joined("features"),
+        joined("counts"),
+    )
+    return Model(vocabulary, weights, held, class_weight, base, rate(empty) if empty else base)
 
 
 _EVIDENCE = T.ArrayType(
