@@ -1,12 +1,14 @@
 """Packing documents into sequences by a grouping genetic algorithm on islands.
 
 Documents longer than a sequence are cut into full pieces and a rest. A full piece is a sequence of
-its own. The others are dealt by hash into demes of about DEME pieces; one row of a table holds a
-deme. Several islands, each a row and hence a task of its own, evolve packings of the same deme:
+its own. The others are dealt by hash into demes of about DEME ids, hundreds of sequences; one row
+of a table holds a deme. Several islands, each a row and hence a task of its own, evolve packings of the same deme:
 the first one starts from best-fit decreasing, further ones from best-fit in disturbed orders. An
 offspring takes well-filled bins of one parent whole, drops the other parent's bins that share a
 piece with them, and puts the displaced pieces back by best-fit. After each round an island's best
-packing migrates to the next island of its deme. The best packing of a deme is the result.
+packing migrates to the next island of its deme. The best packing of a deme is the result, but for
+its emptiest sequences: the pieces of those of all demes are dealt and packed anew, until they fill
+one deme. So part-filled sequences of many demes are joined, whatever the sizes of the pieces.
 
 Null text is an empty document: it holds only the end id. Repeated rows are packed again each.
 An empty table gives no sequences. Other columns are not read.
@@ -14,6 +16,7 @@ An empty table gives no sequences. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -27,11 +30,12 @@ from ledgerloom.llm.store import map_arrow, slices, written
 
 END = 1
 LENGTH = 4096
-DEME = 4096  # pieces in a deme; the last, part-filled bin of each is all that dealing costs
+DEME = 1 << 20  # ids in a deme, which has no more pieces than ids
+EMPTIEST = 4  # sequences of a deme that are packed anew with those of other demes
 ISLANDS = 2
 ROUNDS = 2
-POPULATION = 3
-OFFSPRING = 4  # of an island in a round
+POPULATION = 4
+OFFSPRING = 12  # of an island in a round
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -137,7 +141,10 @@ def evolve(sizes: np.ndarray, capacity: int, seed: int, elites: list[np.ndarray]
     n, listed = len(sizes), sizes.tolist()
     people = list(elites)
     none = np.zeros(0, np.int64)
+    least = -(-int(sizes.sum()) // capacity)
     while len(people) < population:
+        if people and int(people[-1].max()) < least:  # no packing has fewer
+            return people[-1]
         # The disturbance grows with each packing; there is none in the first of the first island.
         noise = 0.1 * (len(people) + seed % ISLANDS) * rng.random(n)
         order = np.argsort(-(sizes * (1 - noise)), kind="stable")
@@ -145,7 +152,6 @@ def evolve(sizes: np.ndarray, capacity: int, seed: int, elites: list[np.ndarray]
     scored = sorted(((fitness(p, sizes, capacity), i) for i, p in enumerate(people)), reverse=True)
     people = [people[i] for _, i in scored]
     scores = [s for s, _ in scored]
-    least = -(-int(sizes.sum()) // capacity)
     for _ in range(offspring):
         if -scores[0][0] <= least:
             break
@@ -194,8 +200,9 @@ def _round(demes: DataFrame, capacity: int, number: int) -> DataFrame:
     return map_arrow(demes, work, _DEMES)
 
 
-def _offsets(best: DataFrame) -> DataFrame:
-    """A row per piece: uid, bin and the place in its sequence."""
+def _offsets(best: DataFrame, capacity: int) -> DataFrame:
+    """A row per piece: uid, bin, the place in its sequence, and whether that is one of the emptiest
+    of its deme that are not full."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,6 +214,10 @@ def _offsets(best: DataFrame) -> DataFrame:
                 order = np.argsort(bins, kind="stable")
                 before = np.cumsum(sizes[order]) - sizes[order]
                 first = np.searchsorted(bins[order], bins[order])
+                fill = np.bincount(bins, sizes)
+                loose = np.zeros(len(fill), bool)
+                loose[np.argsort(fill, kind="stable")[:EMPTIEST]] = True
+                loose &= fill < capacity
                 yield pa.RecordBatch.from_pydict(
                     {
                         "uid": pa.array(uids[order]),
@@ -214,22 +225,20 @@ def _offsets(best: DataFrame) -> DataFrame:
                             row.column("deme")[0].as_py() * (1 << 24) + bins[order], pa.int64()
                         ),
                         "offset": pa.array(before - before[first], pa.int64()),
+                        "length": pa.array(sizes[order], pa.int32()),
+                        "loose": pa.array(loose[bins[order]], pa.bool_()),
                     }
                 )
 
-    return map_arrow(best, work, "uid long, sequence_id long, offset long")
+    schema = "uid long, sequence_id long, offset long, length int, loose boolean"
+    return map_arrow(best, work, schema)
 
 
-def pack(parts: DataFrame, capacity: int = LENGTH) -> DataFrame:
-    """Add sequence_id and offset to a table of pieces that has a `length` of at least one and at
-    most `capacity` each. Its other columns stay."""
-    parts = written(parts.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
-    full = F.col("length") == capacity
-    rest = parts.where(~full).select(F.col("__uid").alias("uid"), F.col("length").cast("int"))
-    n_demes = max(1, -(-rest.count() // DEME))
+def _packed(rest: DataFrame, n_demes: int, salt: int, capacity: int) -> DataFrame:
+    """Deal pieces (uid, length) into demes and evolve their packings: a row per piece."""
     demes = (
-        rest.groupBy(F.pmod(F.xxhash64("uid"), F.lit(n_demes)).alias("deme"))
-        # About DEME pieces each, as the numbers of the rows are dealt by hash.
+        rest.groupBy(F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(n_demes)).alias("deme"))
+        # About DEME ids each, as the numbers of the rows are dealt by hash.
         .agg(F.sort_array(F.collect_list(F.struct("uid", "length"))).alias("held"))
         .select("deme", F.col("held.uid").alias("uids"), F.col("held.length").alias("sizes"))
     )
@@ -250,7 +259,29 @@ def pack(parts: DataFrame, capacity: int = LENGTH) -> DataFrame:
             F.struct("uids", "sizes", "bins"), F.struct(-F.col("n_bins"), "fitness", "island")
         ).alias("b")
     )
-    placed = _offsets(best.select("deme", "b.*"))
+    return written(_offsets(best.select("deme", "b.*"), capacity), "places")
+
+
+def pack(parts: DataFrame, capacity: int = LENGTH) -> DataFrame:
+    """Add sequence_id and offset to a table of pieces that has a `length` of at least one and at
+    most `capacity` each. Its other columns stay."""
+    parts = written(parts.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
+    full = F.col("length") == capacity
+    rest = parts.where(~full).select(F.col("__uid").alias("uid"), F.col("length").cast("int"))
+    places = []
+    while True:
+        # Each turn takes a few sequences of each deme, so there are few turns: the logarithm of the
+        # number of demes, to the base of the number of sequences in a deme over EMPTIEST.
+        n_demes = max(1, -(-(rest.agg(F.sum("length")).first()[0] or 0) // max(DEME, 4 * EMPTIEST * capacity)))
+        done = _packed(rest, n_demes, len(places), capacity)
+        kept = done if n_demes == 1 else done.where("not loose")
+        # The numbers of a turn lie apart from those of the others.
+        number = (F.col("sequence_id") * 64 + len(places)).alias("sequence_id")
+        places.append(kept.select("uid", number, "offset"))
+        if n_demes == 1:
+            break
+        rest = done.where("loose").select("uid", "length")
+    placed = functools.reduce(DataFrame.unionByName, places)
     alone = parts.where(full).select(
         F.col("__uid").alias("uid"),
         (-1 - F.col("__uid")).alias("sequence_id"),
