@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from ledgerloom.session import settings_for, shared_folder
+from ledgerloom.session import settings_for, shared_folder, shuffles_for
 
 
 def session(master, folder=None, app="app-1"):
@@ -33,3 +33,16 @@ def test_partition_counts_grow_with_the_input():
     assert int(large["spark.sql.shuffle.partitions"]) == -(-(10**13) // 2**29)
     most = settings_for(10**14)["spark.sql.shuffle.partitions"]
     assert int(most) == -(-(10**14) // 2**29) == 186265
+
+
+def test_shuffles_begin_with_more_partitions_for_more_input(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert shuffles_for(spark, 1000) == given
+        assert spark.conf.get(name, None) is None
+        assert shuffles_for(spark, 2**30) == 128
+        assert spark.conf.get(name) == "128"
+        assert shuffles_for(spark, 1000) == 128
+    finally:
+        spark.conf.unset(name)
