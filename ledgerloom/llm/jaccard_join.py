@@ -13,8 +13,11 @@ of them is no link, and its texts are not read.
 
 A shingle that many groups have in their prefix would give the square of their number of pairs. So
 its groups are first paired with one of them only, their pivot; a second round pairs those that are
-not connected by then. In the same way a pair of groups is first a pair of one set of each. Sets in the same group are treated alike. No link between two components is
-lost that way, and connected sets are not compared again.
+not connected by then. In the same way a pair of groups is first a pair of one set of each. Sets in
+the same group are treated alike. No link between two components is lost that way, and connected
+sets are not compared again. Sets of one template share many frequent shingles; the second round
+pairs them under the first one only. Each entry has the frequent shingles before its own, EARLIER
+at most, and entries that have one of them in common are a pair there.
 
 The order only decides what work is done, not what is found, so the frequent shingles may come from
 a bounded list: those that repeat in stretches of the corpus, counted over all of it.
@@ -46,6 +49,7 @@ LISTED = 1 << 18  # frequent shingles that are listed, the most frequent first
 STRETCH = 1 << 21  # shingles that are counted at once to find frequent ones
 BITMAP = 4  # words of 64 bits of the parity bitmap of a set
 PAIRS = 1 << 18  # candidate pairs that a task gives out at once
+EARLIER = 64  # frequent shingles of a prefix that later ones are told of
 
 
 def _sets(part: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
@@ -285,17 +289,20 @@ def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> Da
     nodes = written(nodes.join(keys, ["prefix_key", "n"]).drop("prefix_key"), "set-groups")
     sets = nodes.select("group", F.col("set_key").alias("node"), "n", F.col("marks").alias("m"))
     # Buckets of any size: frequent shingles, and groups of several sets.
-    frequent_postings = postings.where("place >= rare").select("token", "group", F.col("place").alias("p"))
+    last = F.expr("slice(prefix, rare + 1, size(prefix) - rare)")
+    frequent_postings = groups.select("group", "rare", last.alias("last")).select(
+        "group", "rare", "last", F.posexplode("last").alias("i", "bucket")
+    )
     buckets = (
         frequent_postings.join(sets, "group")
-        .select(F.col("token").alias("bucket"), "node", "n", "p", "m")
-        .union(nodes.where("several").select("group", "set_key", "n", F.lit(0), "marks"))
+        .selectExpr("bucket", "node", "n", "rare + i p", "m", f"slice(last, 1, least(i, {EARLIER})) earlier")
+        .union(nodes.where("several").selectExpr("group", "set_key", "n", "0", "marks", "cast(array() as array<bigint>)"))
     )
     buckets = written(buckets, "shared-prefixes")
 
     rep = nodes.select("set_key", "rep")
     one = nodes.where("set_key = first_set").select("group", F.col("set_key").alias("node"), "n", F.col("marks").alias("m"))
-    first = _expanded(group_pairs, one, similarity).union(pivoted(buckets, fits)).distinct()
+    first = _expanded(group_pairs, one, similarity).union(pivoted(buckets.drop("earlier"), fits)).distinct()
     links = written(_verified(first, rep, docs, size, similarity), "set-links")
     labels = written(components(links), "set-labels")
     # Pairs of groups with several sets, of which not all are connected yet.
@@ -310,6 +317,7 @@ def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> Da
     open_pairs = open_pairs.where(
         "sets_a + sets_b > 2 and least(low_a, low_b) <> greatest(high_a, high_b)"
     ).select("a", "b")
+    fits += " and not arrays_overlap(earlier_a, earlier_b)"
     second = _expanded(open_pairs, own, similarity).union(unconnected(buckets, labels, fits))
     links = links.union(_verified(second.distinct(), rep, docs, size, similarity))
     labels = components(links)

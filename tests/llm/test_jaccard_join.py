@@ -1,7 +1,12 @@
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerloom.llm import components as star
 from ledgerloom.llm import jaccard_join
 from ledgerloom.llm.components import components
 
@@ -93,3 +98,35 @@ def test_components_of_a_long_path(spark):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_that_share_many_frequent_shingles_are_paired_once(documents, monkeypatch):
+    # Every shingle is frequent, and bitmaps tell nothing: the shingles of the template are shared.
+    rng = random.Random(11)
+    template = [f"t{i}" for i in range(60)]
+    texts = [" ".join(template + [f"own{rng.random()}" for _ in range(6)]) for _ in range(30)]
+
+    def all_frequent(docs, size):
+        columns = [r["text"] for r in docs.collect()]
+        values = np.unique(np.concatenate(list(jaccard_join._sets(pa.record_batch({"text": columns}), size))))
+        return values, np.ones(len(values), np.int8)
+
+    seen = []
+
+    def unconnected(buckets, labels, fits):
+        a, b = (
+            buckets.select("bucket", *(F.col(c).alias(f"{c}_{x}") for c in buckets.columns if c != "bucket"))
+            for x in "ab"
+        )
+        pairs = a.join(b, "bucket").where(f"node_a < node_b and {fits}").select("node_a", "node_b")
+        seen.append((pairs.count(), pairs.distinct().count()))
+        return star.unconnected(buckets, labels, fits)
+
+    monkeypatch.setattr(jaccard_join, "frequent_shingles", all_frequent)
+    monkeypatch.setattr(jaccard_join, "_near", lambda similarity: "true")
+    monkeypatch.setattr(jaccard_join, "unconnected", unconnected)
+    rows = jaccard_join.op3(documents(list(enumerate(texts)))).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i for i in range(30)}
+    [(pairs, distinct)] = seen
+    # Under the first shared shingle, and once more if they are of one group.
+    assert distinct > 50 and pairs <= 2 * distinct
