@@ -1,5 +1,6 @@
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import store
@@ -19,3 +20,19 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert not shuffles() - before
     assert spark.conf.get(store._CLEANUP, None) == setting
     assert sorted(held.collect()) == sorted(counted.collect())
+
+
+def test_a_worker_forgets_what_is_kept_for_other_steps(spark):
+    def hold(batches):
+        for batch in batches:
+            store.kept["model"] = (b"key", list(range(1000)))
+            yield batch
+
+    def count(batches):
+        for batch in batches:
+            yield batch.set_column(0, "id", pa.array([len(store.kept)] * batch.num_rows))
+
+    held = lambda work, keep: store.map_arrow(spark.range(8).repartition(1), work, "id long", keep)
+    held(hold, True).collect()
+    assert {r["id"] for r in held(count, True).collect()} == {1}
+    assert {r["id"] for r in held(count, False).collect()} == {0}
