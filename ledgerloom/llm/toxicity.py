@@ -3,13 +3,12 @@
 Features are all words and beginnings of words (runs of letters in lower case) that the labelled
 examples hold. A text is its TF-IDF vector over them, scaled to length one; document frequencies are
 counted over all documents, and a feature that is more frequent in toxic examples than chance would
-have it weighs more, by its log-likelihood ratio. The nearest examples by cosine come from a
-block-max inverted index of all examples: they lie in blocks, an upper bound per feature and block
-is kept, the blocks of highest bound of the whole query are visited first, and then, exactly, all
-blocks that can hold a nearer example. The few features that most examples hold would fill the
-postings without telling examples apart: their weights are columns of a matrix instead, and count in
-a bound as the product of the lengths of both sides (Cauchy and Schwarz). Only examples whose bound
-reaches the nearest ones found are looked up in the matrix. Weights are kept in single precision.
+have it weighs more, by its log-likelihood ratio. The nearest examples by cosine come from an
+inverted index of all examples. Two texts share so many features that bounds of blocks of examples
+leave most blocks in, and cost more than they save, so all postings of a text are added up. The few
+features that most examples hold would fill the postings: their weights are columns of a matrix, and
+the texts of a slice are multiplied with it at once, in single precision. Only examples that may be
+among the nearest by that sum are added up in double precision.
 
 Neighbours vote with a power of their similarity, times the weight of their class (the examples are
 a sample by class, the weights undo it), against a prior vote for the rate of toxic examples, so a
@@ -28,6 +27,7 @@ from __future__ import annotations
 import dataclasses
 import functools
 import hashlib
+import itertools
 import math
 import pickle
 import re
@@ -41,17 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.store import map_arrow, slices
+from ledgerloom.llm.store import kept, map_arrow, slices
 
 EXAMPLES = 5000  # of each class
 BEGINNINGS = (4, 5, 6)  # letters of the beginnings of words
 EVIDENCE = 25.0  # the log-likelihood ratio that doubles the weight of a feature
 MEMO = 1 << 18  # words whose features a worker remembers
-SEED = 4  # blocks that are visited before the others are judged
+QUERIES = 64  # texts that are compared with the columns at once
 NEIGHBOURS = 16
-BLOCK = 64
-COLUMNS = 256  # features that are kept as columns, the most frequent ones of the examples
-ROUNDING = 1e-9  # what a bound may lack
+COLUMNS = 512  # features that are kept as columns, the most frequent ones of the examples
+ROUNDING = 1e-5  # what a cosine in single precision may lack
 POWER = 2  # of the similarity in a vote
 PRIOR_VOTE = 0.2
 THRESHOLD = 0.3
@@ -100,28 +99,23 @@ class Vocabulary:
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """As features(), but only those that are known: their numbers, ascending, and counts."""
         words = Counter(_LETTERS.findall(text.lower()))
-        numbers: list[int] = []
-        sizes = np.zeros(len(words), np.int64)
-        for i, word in enumerate(words):
-            held = self.memo.get(word)
-            if held is None:
-                held = self._of(word)
-            numbers.extend(held)
-            sizes[i] = len(held)
-        each = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
-        found, at = np.unique(np.array(numbers, np.int32), return_inverse=True)
-        return found, np.bincount(at, each, len(found)).astype(np.int32)
-
-
-_held: dict[str, tuple[bytes, object]] = {}  # the last vocabulary and model of a worker
+        memo = self.memo
+        held = [memo[word] if word in memo else self._of(word) for word in words]
+        sizes = np.fromiter(map(len, held), np.int64, len(held))
+        numbers = np.fromiter(itertools.chain.from_iterable(held), np.int32, int(sizes.sum()))
+        each = np.repeat(np.fromiter(words.values(), np.int32, len(words)), sizes)
+        order = np.argsort(numbers)
+        numbers = numbers[order]
+        first = np.flatnonzero(np.diff(numbers, prepend=-1))
+        return numbers[first], np.add.reduceat(each[order], first, dtype=np.int32) if len(first) else each
 
 
 def _once(kind: str, packed: bytes, make):
     """What `make` gives, made anew in a worker only where the packed form is another one."""
     key = hashlib.sha256(packed).digest()
-    if _held.get(kind, (b"",))[0] != key:
-        _held[kind] = (key, make())
-    return _held[kind][1]
+    if kept.get(kind, (b"",))[0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]
 
 
 def _vocabulary(packed: bytes) -> Vocabulary:
@@ -141,20 +135,15 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 @dataclasses.dataclass
 class Index:
-    """Examples in blocks of BLOCK. Postings are ordered by feature and place; those of one feature
-    in one block are a run, with the largest weight as its bound."""
+    """An inverted index of the examples. Postings are ordered by feature and place."""
 
     ids: np.ndarray
     toxic: np.ndarray
-    runs: np.ndarray  # first run of each feature
-    block: np.ndarray  # of each run
-    bounds: np.ndarray  # of each run
-    posts: np.ndarray  # first posting of each run
+    posts: np.ndarray  # first posting of each feature
     places: np.ndarray
     weights: np.ndarray
     column: np.ndarray  # of each feature, -1 if it has postings
     matrix: np.ndarray  # weights of the examples in the columns
-    lengths: np.ndarray  # of the rows of the matrix
 
     @classmethod
     def build(cls, ids, toxic, vectors: list[dict[int, float]], n_features: int) -> Index:
@@ -175,72 +164,43 @@ class Index:
         matrix = np.zeros((n, len(common)), np.float32)
         held = column[features] >= 0
         matrix[places[held], column[features[held]]] = weights[held]
-        lengths = np.sqrt(np.square(matrix, dtype=np.float64).sum(axis=1))
         features, places, weights = features[~held], places[~held], weights[~held]
         order = np.argsort(features, kind="stable")
         # One after the other: of millions of postings no copies are held longer than needed.
         features = features[order]
         places = places[order]
         weights = weights[order]
-        del order, held
-        block = places // BLOCK
-        new = np.ones(len(places), bool)
-        new[1:] = (features[1:] != features[:-1]) | (block[1:] != block[:-1])
-        first = np.flatnonzero(new)
-        bounds = np.maximum.reduceat(weights, first) if len(first) else weights
-        runs = np.searchsorted(features[first], np.arange(n_features + 1)).astype(np.int32)
-        return cls(np.array(ids, np.int64), np.array(toxic, np.int64), runs,
-                   block[first].astype(np.int32), bounds,
-                   np.append(first, len(places)).astype(np.int32 if len(places) < 1 << 31 else np.int64),
-                   places, weights, column, matrix, lengths)
+        posts = np.searchsorted(features, np.arange(n_features + 1))
+        return cls(np.array(ids, np.int64), np.array(toxic, np.int64), posts, places, weights, column, matrix)
 
     def nearest(self, query: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples that share a feature; the earlier place
         wins a tie."""
         features = np.fromiter(query, np.int64, len(query))
-        return self.search(features, np.fromiter(query.values(), np.float64, len(query)), k)
+        weights = np.fromiter(query.values(), np.float64, len(query))
+        return next(self.search([(features, weights)], k))
 
-    def search(self, features: np.ndarray, weights: np.ndarray, k: int):
-        """As nearest(), of a query in two arrays."""
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int):
+        """As nearest(), of each query in two arrays."""
         n = len(self.ids)
-        columns = self.column[features]
-        common = columns >= 0
-        across = np.zeros(self.matrix.shape[1])
-        across[columns[common]] = weights[common]
-        # What the columns can add to the cosine of each example, and to the best of each block.
-        more = math.sqrt(float(across @ across)) * self.lengths + ROUNDING
-        n_blocks = -(-n // BLOCK)
-        features, weights = features[~common], weights[~common]
-        first, last = self.runs[features].astype(np.int64), self.runs[features + 1].astype(np.int64)
-        runs = _ranges(first, last)
-        weight = np.repeat(weights, last - first)
-        block = self.block[runs]
-        bound = np.bincount(block, weight * self.bounds[runs], n_blocks)
-        if n:
-            bound = bound + np.maximum.reduceat(more, np.arange(0, n, BLOCK))
-        chosen = np.zeros(n_blocks, bool)
-        chosen[np.argsort(-bound, kind="stable")[:SEED]] = True
-        places, cosines = self._best(chosen, runs, block, weight, across, more, 0.0, k)
-        least = cosines[-1] if len(places) == k else 0.0
-        chosen = bound >= least - ROUNDING
-        return self._best(chosen, runs, block, weight, across, more, least, k)
-
-    def _best(self, chosen, runs, block, weight, across, more, least: float, k: int):
-        """The k nearest examples in the chosen blocks, as long as they reach `least`."""
-        held = chosen[block]
-        if not held.all():
-            runs, weight = runs[held], weight[held]
-        first, last = self.posts[runs].astype(np.int64), self.posts[runs + 1].astype(np.int64)
-        at = _ranges(first, last)
-        products = np.repeat(weight, last - first) * self.weights[at]
-        sums = np.bincount(self.places[at], products, len(self.ids))
-        # Weights are never negative, so what the postings give is a lower bound.
-        if len(sums) > k:
-            least = max(least, float(np.partition(sums, len(sums) - k)[len(sums) - k]))
-        there = np.repeat(chosen, BLOCK)[: len(sums)]
-        found = np.flatnonzero(there & (sums + more >= least - ROUNDING))
-        exact = (sums[found] + self.matrix[found] @ across).round(12)
-        return self._top(found, exact, k)
+        across = np.zeros((len(queries), self.matrix.shape[1]))
+        rest = []
+        for row, (features, weights) in zip(across, queries, strict=True):
+            columns = self.column[features]
+            common = columns >= 0
+            row[columns[common]] = weights[common]
+            rest.append((features[~common], weights[~common]))
+        dense = across.astype(np.float32) @ self.matrix.T
+        for row, near, (features, weights) in zip(across, dense, rest, strict=True):
+            first, last = self.posts[features], self.posts[features + 1]
+            at = _ranges(first, last)
+            products = np.repeat(weights, last - first) * self.weights[at]
+            sums = np.bincount(self.places[at], products, n)
+            # The product of the matrices is in single precision: it says who may be among the k.
+            near = near + sums
+            least = np.partition(near, n - k)[n - k] if n > k else 0.0
+            found = np.flatnonzero(near >= least - ROUNDING)
+            yield self._top(found, (sums[found] + self.matrix[found] @ row).round(12), k)
 
     def _top(self, places: np.ndarray, sums: np.ndarray, k: int):
         some = sums > 0
@@ -305,12 +265,16 @@ class Model:
         raw = (1 + np.log(counts)) * self.weight[features]
         return raw / math.sqrt(float(raw @ raw)) if len(raw) else raw
 
-    def score(self, text: str) -> tuple[float, list[tuple[int, float, int]]]:
-        """The score, and id, similarity and label of the neighbours it comes from."""
-        features, counts = self.vocabulary.counts(text)
-        if not len(features):
-            return self.bare, []
-        places, cosines = self.index.search(features, self.vector(features, counts), NEIGHBOURS)
+    def scores(self, texts: list[str]) -> Iterator[tuple[float, list[tuple[int, float, int]]]]:
+        """Of each text the score, and id, similarity and label of the neighbours it comes from."""
+        for start in range(0, len(texts), QUERIES):
+            held = [self.vocabulary.counts(t) for t in texts[start : start + QUERIES]]
+            queries = [(f, self.vector(f, c)) for f, c in held if len(f)]
+            found = self.index.search(queries, NEIGHBOURS)
+            for features, _ in held:
+                yield self._voted(*next(found)) if len(features) else (self.bare, [])
+
+    def _voted(self, places: np.ndarray, cosines: np.ndarray):
         toxic = self.index.toxic[places]
         votes = np.maximum(cosines, 0) ** POWER * np.array(self.class_weight)[toxic]
         score = (float(votes @ toxic) + PRIOR_VOTE * self.base) / (float(votes.sum()) + PRIOR_VOTE)
@@ -411,7 +375,7 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.n
         )
 
     found = np.zeros(len(vocabulary) + 1, np.int64)
-    counted = map_arrow(docs.select("text"), work, "feature int, n long")
+    counted = map_arrow(docs.select("text"), work, "feature int, n long", keep=True)
     rows = counted.groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     found[rows.column("feature").to_numpy()] = rows.column("n").to_numpy()
     return found[:-1], int(found[-1])
@@ -438,7 +402,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Model:
             )
 
     schema = "doc_id long, toxic int, features binary, counts binary"
-    rows = map_arrow(held, work, schema).distinct().collect()  # at most 2 * limit documents
+    rows = map_arrow(held, work, schema, keep=True).distinct().collect()  # at most 2 * limit documents
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["features"], r["counts"]))
     sampled = Counter(r["toxic"] for r in rows)
     class_weight = tuple(totals.get(c, 0) / sampled[c] if sampled[c] else 0.0 for c in (0, 1))
@@ -484,7 +448,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [model.score(t or "") for t in part.column("text").to_pylist()]
+                found = list(model.scores([t or "" for t in part.column("text").to_pylist()]))
                 near = [
                     [dict(zip(("doc_id", "similarity", "toxic"), x, strict=True)) for x in e[:3]]
                     for _, e in found
@@ -506,7 +470,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             T.StructField("evidence", _EVIDENCE),
         ]
     )
-    return map_arrow(docs.select("doc_id", "text"), work, schema)
+    return map_arrow(docs.select("doc_id", "text"), work, schema, keep=True)
 
 
 def reject(docs: DataFrame, model: Model) -> DataFrame:
@@ -515,10 +479,10 @@ def reject(docs: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = part.column("text").to_pylist()
-                yield part.filter(pa.array([model.score(t or "")[0] < THRESHOLD for t in texts], pa.bool_()))
+                scores = model.scores([t or "" for t in part.column("text").to_pylist()])
+                yield part.filter(pa.array([x < THRESHOLD for x, _ in scores], pa.bool_()))
 
-    return map_arrow(docs, work, docs.schema)
+    return map_arrow(docs, work, docs.schema, keep=True)
 
 
 def fold() -> F.Column:

@@ -188,3 +188,19 @@ def test_scores_against_all_examples(documents, spark, monkeypatch, columns):
     want = sorted((str(i), x) for (i, _), x in zip(rows, brute_scores(rows, labels), strict=True))
     assert [i for i, _ in got] == [i for i, _ in want]
     assert np.allclose([x for _, x in got], [x for _, x in want], atol=1e-5)
+
+
+def test_texts_are_compared_with_the_columns_in_slices(documents, spark, monkeypatch):
+    rows = [(i, f"{'vile' if i % 3 else 'good'} " + " ".join(_letters(i))) for i in range(50)]
+    rows += [(60, "!"), (61, "")]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(50)], "doc_id long, toxic int")
+    model = toxicity.learn(documents(rows), labels)
+    texts = [t for _, t in rows]
+    whole = list(model.scores(texts))
+    monkeypatch.setattr(toxicity, "QUERIES", 7)
+    parts = list(model.scores(texts))
+    assert np.allclose([x for x, _ in whole], [x for x, _ in parts], atol=1e-9)
+    assert [[n[0] for n in e] for _, e in whole] == [[n[0] for n in e] for _, e in parts]
+    one = [next(model.scores([t])) for t in texts]
+    assert np.allclose([x for x, _ in whole], [x for x, _ in one], atol=1e-9)
+    assert whole[-1] == whole[-2] and not whole[-1][1]
