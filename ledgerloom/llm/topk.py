@@ -8,8 +8,10 @@ term need not be scored. The vectors in the essential postings are scored over t
 then the other terms are probed, the largest bound first, for the vectors that can still compete.
 Scores are integers, so ties are exact; they go to the smaller id.
 
-A shard is one row that holds about SHARD vectors, a block one row of QUERIES queries; each block
-meets each shard, and the shards' best are merged per query.
+A shard is one row that holds about SHARD vectors, a block one row of QUERIES queries, and both are
+written. Each block meets each shard in a Cartesian product, so that no table is copied for the other
+one, neither on disk nor through the driver. A task takes some blocks through some shards; the best of
+a block so far give the bar that the next shard begins with. The tasks' best are merged per query.
 
 Vectors that are null, empty or hold a null or non-finite component take no part, nor do rows
 without an id. Rows that repeat an id with different vectors are candidates and queries each, and
@@ -31,6 +33,8 @@ from ledgerloom.llm.store import map_arrow, written
 
 SHARD = 4096
 QUERIES = 256
+SHARDS = 16  # of a task, about; they are what it holds in memory, 32 MB at 64 components
+BLOCKS = 4  # of a task, about
 SCALE = 1024
 
 
@@ -53,8 +57,11 @@ class Shard:
             return held[len(held) - self.positive[component] :]
         return held[: self.negative[component]]
 
-    def search(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best vectors but the query's own row."""
+    def search(
+        self, query: np.ndarray, k: int, own: int, bar: int | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best vectors but the query's own row. Where k vectors with scores
+        of `bar` or more are known already, those below it may be left out."""
         bounds = np.maximum(0, np.maximum(query * self.least, query * self.most))
         terms = np.argsort(-bounds, kind="stable")
         terms = terms[bounds[terms] > 0]
@@ -64,8 +71,10 @@ class Shard:
         seeds = np.unique(np.concatenate([np.zeros(0, np.int64), *first]))
         seeds = seeds[self.uids[seeds] != own]
         seed_scores = query @ self.by_component[:, seeds]
-        enough = len(seeds) >= k
-        bar = np.partition(seed_scores, -k)[-k] if enough else np.iinfo(np.int64).min
+        bar = np.iinfo(np.int64).min if bar is None else bar
+        if len(seeds) >= k:
+            bar = max(bar, np.partition(seed_scores, -k)[-k])
+        enough = bar > np.iinfo(np.int64).min
         rest = np.cumsum(bounds[terms][::-1])[::-1]  # what the terms from here on can add
         essential = int((rest >= bar).sum()) if enough else len(terms)
         if enough and bar > 0:
@@ -109,6 +118,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHA
     vec_id, vector (whole numbers) and its size."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards: dict[tuple, Shard] = {}
+        now, queries, best = None, (), []
+
+        def done() -> pa.RecordBatch:
+            out = [
+                (np.full(len(ids), own), np.full(len(ids), name), ids, scores)
+                for (own, name, _), (ids, scores) in zip(queries, best, strict=True)
+            ]
+            columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
+            names = ["query_uid", "query_id", "vec_id", "score"]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
@@ -117,30 +138,44 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHA
                     held = [row[c].values.to_numpy() for c in names]
                     return *held, row[components].values.to_numpy().reshape(len(held[0]), -1)
 
-                held = Shard(*matrix("components", "uids", "ids"))
-                out = []
-                for own, name, query in zip(
-                    *matrix("queries", "query_uids", "query_ids"), strict=True
-                ):
-                    ids, scores = held.search(query, k, own)
-                    out.append((np.full(len(ids), own), np.full(len(ids), name), ids, scores))
-                columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
-                names = ["query_uid", "query_id", "vec_id", "score"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                size = row["size"].as_py()
+                key = row["shard"].as_py(), size
+                if key not in shards:
+                    if len(shards) >= 2 * SHARDS:
+                        shards.pop(next(iter(shards)))
+                    shards[key] = Shard(*matrix("components", "uids", "ids"))
+                if now != (row["block"].as_py(), size):
+                    if now:
+                        yield done()
+                    now = row["block"].as_py(), size
+                    queries = list(zip(*matrix("queries", "query_uids", "query_ids"), strict=True))
+                    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
+                for at, (own, _, query) in enumerate(queries):
+                    ids, scores = best[at]
+                    bar = int(scores[-1]) if len(scores) == k else None
+                    found = shards[key].search(query, k, own, bar)
+                    ids, scores = np.append(ids, found[0]), np.append(scores, found[1])
+                    first = np.lexsort((ids, -scores))[:k]
+                    best[at] = ids[first], scores[first]
+        if now:
+            yield done()
 
     def dealt(df: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
         n = max(1, -(-df.count() // size))
         return df.withColumn(name, F.pmod(F.xxhash64("uid"), F.lit(n))), n
 
     vectors, n_shards = dealt(vectors, shard, "shard")
-    queries, _ = dealt(queries, block, "block")
-    blocks = _packed(queries, "block").select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), "size",
-        F.col("uids").alias("query_uids"), F.col("ids").alias("query_ids"),
+    queries, n_blocks = dealt(queries, block, "block")
+    tasks = max(-(-n_shards // SHARDS), min(n_shards, vectors.sparkSession.sparkContext.defaultParallelism))
+    shards = written(_packed(vectors, "shard"), "shards").repartition(tasks)
+    blocks = written(_packed(queries, "block"), "blocks").repartition(-(-n_blocks // BLOCKS))
+    blocks = blocks.select(
+        "block", "size", F.col("uids").alias("query_uids"), F.col("ids").alias("query_ids"),
         F.col("components").alias("queries"),
     )
-    pairs = _packed(vectors, "shard").join(blocks, ["shard", "size"])
-    found = map_arrow(pairs.drop("shard", "size"), work, _FOUND)
+    # The rows of a block come one after the other, with all shards of the task.
+    pairs = blocks.join(shards.hint("shuffle_replicate_nl"), "size")
+    found = map_arrow(pairs, work, _FOUND)
     best = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id")
     return found.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score").where(
         F.col("rank") <= k

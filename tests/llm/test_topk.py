@@ -5,6 +5,8 @@ import pytest
 
 from ledgerloom.llm import topk
 
+from .conftest import plan_nodes
+
 
 def brute(rows, k=10):
     held = set()
@@ -82,3 +84,31 @@ def test_all_scores_negative(spark):
 
 def test_empty_table(spark):
     assert found(spark, []) == []
+
+
+def test_blocks_are_not_copied_for_shards(spark):
+    """The planner does not see how many shards meet a block, so it must not choose a broadcast."""
+    rng = np.random.default_rng(6)
+    rows = [(i, i, [int(x) for x in rng.integers(-9, 10, 8)], 8) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, uid long, vector array<bigint>, size int")
+    plan = plan_nodes(topk.search(df, df.where("vec_id < 40"), k=3, shard=16, block=8))
+    assert "CartesianProduct" in plan and "Generate" not in plan
+    assert "BroadcastExchange" not in plan
+
+
+def test_a_known_bar_loses_no_tie():
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-2, 3, (300, 6))
+    ids = rng.permutation(300)
+    parts = [topk.Shard(ids[a : a + 100], ids[a : a + 100], vectors[a : a + 100]) for a in (0, 100, 200)]
+    for query in vectors[:40]:
+        held = (np.zeros(0, int), np.zeros(0, int))
+        for part in parts:
+            bar = held[1][-1] if len(held[1]) == 5 else None
+            found = part.search(query, 5, -1, bar)
+            held = np.append(held[0], found[0]), np.append(held[1], found[1])
+            first = np.lexsort((held[0], -held[1]))[:5]
+            held = held[0][first], held[1][first]
+        scores = vectors @ query
+        want = np.lexsort((ids, -scores))[:5]
+        assert held[0].tolist() == ids[want].tolist() and held[1].tolist() == scores[want].tolist()
