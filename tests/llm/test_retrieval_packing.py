@@ -135,3 +135,19 @@ def test_frequencies(documents, spark):
 
 def test_empty_table(documents):
     assert packing.op12(documents([])).count() == 0
+
+
+def test_neighbours_are_found_in_the_whole_shard(spark):
+    """Units of one topic lie far apart in a shard; each window still holds one topic only."""
+    rng = np.random.default_rng(4)
+    topics = np.arange(1500) % 300
+    held = [np.concatenate([rng.integers(0, 20, 10), 20 + t * 10 + rng.permutation(10)]) for t in topics]
+    seen = np.bincount(np.concatenate([np.unique(x) for x in held]), minlength=3020)
+    rows = [(i, 20, [], x.astype("<u2").tobytes(), 20, i) for i, x in enumerate(held)]
+    rows.append((None, None, seen.tolist(), None, 1500, 30000))
+    schema = "doc_id long, doc_tokens long, crcs array<long>, rest binary, n long, signature long"
+    found = {}
+    for r in packing.pack(spark.createDataFrame(rows, schema), 100).collect():
+        found.setdefault(r["sequence_id"], set()).add(int(topics[r["doc_id"]]))
+    assert len(found) == 300
+    assert all(len(x) == 1 for x in found.values())
