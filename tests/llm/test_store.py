@@ -22,7 +22,10 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert sorted(held.collect()) == sorted(counted.collect())
 
 
-def test_a_worker_forgets_what_is_kept_for_other_steps(spark):
+def test_a_worker_forgets_what_is_kept_for_other_steps(spark, monkeypatch):
+    # Workers of its own: of those that other tests left idle, each task may get another one.
+    monkeypatch.setitem(spark.sparkContext.environment, "LEDGERLOOM_TEST", "own workers")
+
     def hold(batches):
         for batch in batches:
             store.kept["model"] = (b"key", list(range(1000)))
